@@ -20,31 +20,39 @@ def is_finite(value: Column | str) -> Column:
     return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
 
 
-def _parse(text: Column) -> Column:
-    parsed = F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
-    return F.when(F.abs(parsed) < float("inf"), parsed)
+def parse_float(text: Column) -> Column:
+    """Tidy text to a double, infinite when too large to hold.
+
+    Parsers refer to their input once per step: nested, they would otherwise repeat
+    the whole expression below them.
+    """
+    return F.regexp_extract(text, FLOAT_TEXT, 0).try_cast("double")
+
+
+def finite(parsed: Column) -> Column:
+    return F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def number(value: Column | str) -> Column:
     """Text or number to a finite double, anything else to null."""
-    return _parse(normalized(value))
+    return finite(parse_float(normalized(value)))
 
 
 def decimal_comma_number(value: Column | str) -> Column:
     """Like ``number`` with spaces as thousands separators and a decimal comma."""
-    return _parse(F.translate(normalized(value), ", ", "."))
+    return finite(parse_float(F.translate(normalized(value), ", ", ".")))
 
 
 def count_number(value: Column | str) -> Column:
     """A non-negative whole number, halves to even, negative to null."""
-    rounded = F.rint(decimal_comma_number(value))
-    return F.when(rounded >= 0, rounded.try_cast("bigint"))
+    parsed = parse_float(F.translate(normalized(value), ", ", "."))
+    rounded = F.rint(parsed).try_cast("bigint")
+    return F.nullif(F.greatest(rounded, F.lit(-1)), F.lit(-1))
 
 
 def whole_or(value: Column | str, default: int | None = None) -> Column:
     """Whole-number text to int, blank or malformed text to the default."""
-    text = normalized(value)
-    parsed = F.when(text.rlike(WHOLE_TEXT), text.try_cast("int"))
+    parsed = F.regexp_extract(normalized(value), WHOLE_TEXT, 0).try_cast("int")
     return F.coalesce(parsed, F.lit(default).cast("int"))
 
 

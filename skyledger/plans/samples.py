@@ -148,6 +148,11 @@ def station_lines(stations: DataFrame) -> DataFrame:
     return _preamble(files, STATION_TITLE).unionByName(body).unionByName(short)
 
 
+def _cells(*texts: Column | str) -> Column:
+    """Cells of a tab-separated line."""
+    return F.split(F.concat_ws("\t", *texts), "\t", -1)
+
+
 def _spelled(headers: dict[str, list[str]], which: int) -> list[str]:
     return [spellings[min(which, len(spellings) - 1)] for spellings in headers.values()]
 
@@ -179,7 +184,7 @@ def weather_grid(orders: DataFrame, weather: DataFrame) -> DataFrame:
         .unionByName(_header_rows(files.filter(~first & ~last), [(2, other)]))
     )
     measures = [c for c in WEATHER_HEADERS if c in weather.columns]
-    cells = F.array(
+    cells = _cells(
         F.year("ts").cast("string"),
         F.month("ts").cast("string"),
         F.dayofmonth("ts").cast("string"),
@@ -201,7 +206,7 @@ def unlabelled_grid(orders: DataFrame) -> DataFrame:
         F.col("o_orderpriority").alias("file"),
         F.lit(0).alias("sheet"),
         F.col("o_orderkey").alias("place"),
-        F.array(
+        _cells(
             F.col("o_totalprice").cast("string"),
             F.year("o_orderdate").cast("string"),
             F.month("o_orderdate").cast("string"),
@@ -217,7 +222,7 @@ def medication_grid(medications: DataFrame) -> DataFrame:
     files = medications.select(name.alias("file")).distinct()
     top = [h.replace(" ", NBSP) for h in _spelled(MEDICATION_HEADERS, 0)]
     amounts = [c for c in MEDICATION_HEADERS if c not in ("year", "month", "ingredient", "package")]
-    cells = F.array(
+    cells = _cells(
         F.col("year").cast("string"),
         F.when(F.col("persons") == 7, "?").otherwise(F.concat(F.col("month").cast("string"), F.lit(".0"))),
         "ingredient",

@@ -10,12 +10,15 @@ from pyspark.sql import SparkSession
 # Runtime settings, safe to set on a session somebody else created.
 # forceOptimizeSkewedJoin lets AQE split a hot join key even when the rows after
 # the join would otherwise reuse its partitioning (join on station, group on station).
+# hugeMethodLimit is the size above which the JVM refuses to compile a method: beyond
+# it, separately generated operators are much faster than one interpreted method.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
