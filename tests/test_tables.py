@@ -40,9 +40,10 @@ def test_upsert(spark, partition):
 def test_upsert_leaves_other_partitions_alone(spark):
     path = shared_dir(spark)
     tables.upsert(daily(spark, *FIRST), path, KEYS, "year")
-    before = set(spark.read.parquet(path).filter("year = 2020").inputFiles())
+    kept = lambda: {f for f in spark.read.parquet(path).inputFiles() if "year=2020" in f}
+    before = kept()
     tables.upsert(daily(spark, *LATE), path, KEYS, "year")
-    assert set(spark.read.parquet(path).filter("year = 2020").inputFiles()) == before
+    assert kept() == before != set()
 
 
 def test_upsert_duplicate_source_and_order(spark):
