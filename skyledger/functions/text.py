@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 # spelled out: the regular-expression flag for Unicode classes is much slower.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 SPACE_RUN = SPACE + "+"
+SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if re.match(SPACE, chr(c)))
 
 # Cells of printable characters without spaces are tidy already; most numbers are.
 PLAIN = "^[!-~]*$"
@@ -32,6 +34,11 @@ def text_or_null(value: Column | str) -> Column:
     return F.when(normalized(value) != "", as_column(value).cast("string"))
 
 
+def stripped(value: Column | str) -> Column:
+    """White space of any kind removed from both ends only."""
+    return F.trim(as_column(value), F.lit(SPACE_CHARS))
+
+
 def _accent_rule() -> tuple[str, str]:
     """Characters whose compatibility decomposition is one base character plus marks.
 
