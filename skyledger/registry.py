@@ -412,9 +412,8 @@ def month_dates(w):
 @query
 def parse_number(w):
     spelled = w.table("lineitem").selectExpr("l_orderkey", "l_linenumber", f"{samples.NUMBER_TEXT} AS raw")
-    return spelled.select(
-        "l_orderkey", "l_linenumber", numbers.cents(numbers.decimal_comma_number("raw")).alias("cents")
-    )
+    parsed = spelled.withColumn("amount", numbers.decimal_comma_number("raw"))
+    return parsed.select("l_orderkey", "l_linenumber", numbers.cents("amount").alias("cents"))
 
 
 @query
