@@ -5,8 +5,8 @@ size. The whole part is taken as it is. The fractional part is an inclusion prob
 and the cube method turns it into 0 or 1: three documents at a time, the probabilities
 move along the one direction that keeps both the number of documents and the sum of their
 sizes, until one of them is settled. A block of documents leaves at most two unsettled,
-blocks are joined and the flight goes on, and at the end of a source the one or two that
-are left land on the combination closest to its target.
+blocks are joined and the flight goes on. At the end of a source the one or two left open
+and its ten smallest open documents land on the combination closest to its target.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 20_000
+LANDING = 10
 
 SHAPE = "doc_id long, source string, size long, source_size long, target double, copies int, chance double, block int"
 
@@ -82,25 +83,26 @@ def flight(chance: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarra
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The 0/1 choice for the last open documents whose size comes closest to what they stand for."""
     open_ = np.flatnonzero((p > 0) & (p < 1))
-    want = float((p[open_] * size[open_]).sum())
-    ways = [[(w >> k) & 1 for k in range(len(open_))] for w in range(1 << len(open_))]
-    best = min(ways, key=lambda way: (abs(sum(b * size[n] for b, n in zip(way, open_)) - want), way))
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    off = np.abs(ways @ size[open_] - (p[open_] * size[open_]).sum())
+    count_off = np.abs(ways.sum(axis=1) - p[open_].sum())
     p = p.copy()
-    p[open_] = best
+    p[open_] = ways[np.lexsort((count_off, off.round(6)))[0]]
     return p
 
 
 def _fly(last: bool):
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "size", "chance"], kind="stable", ignore_index=True)
-        if not last and (len(rows) == 0):
-            return rows
-        seed = [int(rows["doc_id"].iloc[0] or 0) & 0x7FFFFFFF, len(rows), int(last)] if len(rows) else [0]
+        seed = [len(rows), int(rows["size"].sum()), int(last)]
         rng = np.random.Generator(np.random.PCG64(seed))
         order = rng.permutation(len(rows))
         rows = rows.iloc[order].reset_index(drop=True)
         size = rows["size"].to_numpy(np.int64)
-        p = flight(rows["chance"].to_numpy(float), size, rng.random(2 * len(rows) + 8))
+        p = rows["chance"].to_numpy(float).copy()
+        # At the end of a source the smallest documents stay out of the flight: they land it finely.
+        flying = np.sort(np.argsort(size, kind="stable")[LANDING if last else 0 :])
+        p[flying] = flight(p[flying], size[flying], rng.random(2 * len(rows) + 8))
         rows["chance"] = landing(p, size) if last else p
         return rows
 
