@@ -5,8 +5,8 @@ size. The whole part is taken as it is. The fractional part is an inclusion prob
 and the cube method turns it into 0 or 1: three documents at a time, the probabilities
 move along the one direction that keeps both the number of documents and the sum of their
 sizes, until one of them is settled. A block of documents leaves at most two unsettled,
-blocks are joined and the flight goes on. At the end of a source the one or two left open
-and its ten smallest open documents land on the combination closest to its target.
+besides its ten smallest, which wait. What is open in the blocks is joined and the flight
+goes on; at the end of a source its last dozen land on the combination closest to its target.
 """
 
 from __future__ import annotations
@@ -100,8 +100,8 @@ def _fly(last: bool):
         rows = rows.iloc[order].reset_index(drop=True)
         size = rows["size"].to_numpy(np.int64)
         p = rows["chance"].to_numpy(float).copy()
-        # At the end of a source the smallest documents stay out of the flight: they land it finely.
-        flying = np.sort(np.argsort(size, kind="stable")[LANDING if last else 0 :])
+        # The smallest documents stay out of the flight: they land the source finely.
+        flying = np.sort(np.argsort(size, kind="stable")[LANDING:])
         p[flying] = flight(p[flying], size[flying], rng.random(2 * len(rows) + 8))
         rows["chance"] = landing(p, size) if last else p
         return rows
@@ -151,7 +151,7 @@ def mix(
     while most_blocks > 1:
         flown = staged(rest.groupBy("source", "block").applyInPandas(_fly(False), SHAPE))
         done.append(flown.where("chance <= 0 or chance >= 1"))
-        most_blocks = -(-2 * most_blocks // block)
+        most_blocks = -(-(LANDING + 2) * most_blocks // block)
         rest = flown.where("chance > 0 and chance < 1").withColumn("block", F.pmod("block", F.lit(most_blocks)))
     done.append(rest.groupBy("source").applyInPandas(_fly(True), SHAPE))
     result = done[0]
