@@ -224,7 +224,7 @@ def pack(
     cut = staged(pieces(docs, capacity, vocabulary))
     total = cut.where(F.col("length") < capacity).count()
     shards = max(1, -(-total // shard))
-    buckets = max(8, -(-total // 20_000))
+    buckets = max(256, -(-total // 20_000))
     # A row number makes repeated rows distinct; a key stands for its row from here on.
     keyed = staged(gapless(cut, [], ["text_key", "piece"], "key", buckets))
     loose = keyed.where(F.col("length") < capacity).select("key", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), F.col("length").cast("int").alias("length"))

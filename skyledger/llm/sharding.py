@@ -95,7 +95,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
         )
     )
     total = rows.count()
-    buckets = max(8, -(-total // ROWS_PER_BUCKET))
+    buckets = max(256, -(-total // ROWS_PER_BUCKET))
     capacity = _capacity(total, shards)
     groups = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     state = staged(_start(groups, total, shards, buckets))
