@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import mixing, packing, sharding, simhash, tokens
+from skyledger.llm import langid, mixing, packing, sharding, simhash, tokens
 
 QUERIES = {
     "op2_shard_documents": sharding.op2_shard_documents,
     "op3_simhash": simhash.op3_simhash,
     "op4_token_counts": tokens.op4_token_counts,
+    "op6_language_id": langid.op6_language_id,
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
