@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import langid, mixing, packing, repeats, sharding, simhash, tokens
+from skyledger.llm import langid, mixing, packing, repeats, scoring, sharding, simhash, tokens
 
 QUERIES = {
     "op1_suffix_dedup": repeats.op1_suffix_dedup,
     "op2_shard_documents": sharding.op2_shard_documents,
     "op3_simhash": simhash.op3_simhash,
     "op4_token_counts": tokens.op4_token_counts,
+    "op5_lm_scoring": scoring.op5_lm_scoring,
     "op6_language_id": langid.op6_language_id,
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_mix_sources": mixing.op10_mix_sources,
