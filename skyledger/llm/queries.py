@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import langid, mixing, packing, repeats, scoring, sharding, simhash, tokens
+from skyledger.llm import langid, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, vectors
 
 QUERIES = {
     "op1_suffix_dedup": repeats.op1_suffix_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op5_lm_scoring": scoring.op5_lm_scoring,
     "op6_language_id": langid.op6_language_id,
+    "op7_embedding_dedup": vectors.op7_embedding_dedup,
+    "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
