@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import SAFE, WORD, staged, table
@@ -161,6 +161,24 @@ def mix(
     return result.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
+def resample(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` as the mix takes them: a document taken k times is k rows, all columns kept.
+
+    Documents without words are never taken. Repeated rows share their copies evenly.
+    """
+    key = F.xxhash64(F.col("doc_id"), F.col("text"))
+    ids = docs.select(key.alias("doc_id"), "source", "text")
+    taken = mix(ids, **settings).where("taken > 0")
+    # A key's rows share one source and size: their copies add up.
+    taken = taken.groupBy(F.col("doc_id").alias("_llm_key"), F.col("source").alias("_llm_source")).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_llm_all"))
+    keyed = docs.withColumn("_llm_own", key)
+    joined = keyed.join(taken, (keyed["_llm_own"] == taken["_llm_key"]) & keyed["source"].cast("string").eqNullSafe(taken["_llm_source"]))
+    group = Window.partitionBy("_llm_own", "_llm_source")
+    rows = joined.withColumn("_llm_n", F.count(F.lit(1)).over(group)).withColumn("_llm_r", F.row_number().over(group.orderBy("_llm_key")))
+    copies = F.expr("_llm_all div _llm_n + if(_llm_r <= _llm_all % _llm_n, 1, 0)").cast("int")
+    return rows.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), copies)).alias("_llm_copy")).select(*docs.columns)
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """The mix over all documents: one row per document."""
     return mix(table(spark, folder, "documents")).drop("source")

@@ -454,6 +454,48 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(cut).unionByName(nameless)
 
 
+STAGE_LENGTH = 200  # bytes; a passage of fifty words is longer
+
+
+def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text`` (and ``n_chars`` set anew), all columns kept.
+
+    A span is cut at whole characters. A document of which nothing but white space is left
+    goes; texts without a repeat, null and empty ones among them, stay as they are.
+    """
+    spans = repeated(docs, length).where("n_removed > 0").select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"), "starts", "ends")
+    # Repeated rows have equal spans.
+    spans = spans.dropDuplicates(["_llm_id", "_llm_key"]).withColumnsRenamed({"starts": "_llm_starts", "ends": "_llm_ends"})
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.xxhash64(F.col("doc_id"), text)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        out = []
+        for whole, s, e in zip(texts, starts, ends):
+            if s is None:
+                out.append(whole)
+                continue
+            data, kept, last = whole.encode(), [], 0
+            for a, b in zip(s, e):
+                while a < len(data) and data[a] & 0xC0 == 0x80:
+                    a += 1
+                while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+                    b -= 1
+                kept.append(data[last:a])
+                last = max(last, b)
+            out.append(b"".join([*kept, data[last:]]).decode())
+        return pd.Series(out, dtype=object)
+
+    keyed = docs.withColumn("_llm_own", key)
+    joined = keyed.join(spans, (keyed["doc_id"] == spans["_llm_id"]) & (keyed["_llm_own"] == spans["_llm_key"]), "left")
+    touched = F.col("_llm_starts").isNotNull()
+    done = joined.withColumn("_llm_text", cut(F.col("text").cast("string"), "_llm_starts", "_llm_ends"))
+    done = done.where(~touched | F.col("_llm_text").rlike(r"[^\s]"))
+    new = {"text": F.col("_llm_text"), "n_chars": F.when(touched, F.length("_llm_text").cast("long")).otherwise(F.col("n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return done.select(*[(new[c] if c in new else F.col(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What of all documents repeats 50 bytes of an earlier one."""
     return repeated(table(spark, folder, "documents")).drop("text_key", "starts", "ends")

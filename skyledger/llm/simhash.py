@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import components, staged, table
@@ -154,14 +154,10 @@ def linked(key: np.ndarray, fp: np.ndarray, dense: list[int], bits: int) -> tupl
     return away, label[away]
 
 
-def links(fps: DataFrame, bits: int = BITS, masks: list[int] | None = None) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp), enough to connect what is linked.
-
-    Fingerprints meet when the references of one of ``masks`` see no difference; without
-    masks no pair within ``bits`` is missed. A meeting place is compared inside one task in
-    blocks; what leaves it is at most one link per fingerprint, never all pairs.
-    """
-    masks, dense = masks or agreeing(bits), dense_references()
+def _meet(fps: DataFrame, bits: int, masks: list[int], compare_keys, mix_order: bool = False) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints (column fp) that ``compare_keys`` finds among the
+    rows of each key; there is a key for every mask and what its references see."""
+    dense = dense_references()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +172,7 @@ def links(fps: DataFrame, bits: int = BITS, masks: list[int] | None = None) -> D
         rest_key, rest_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def settle(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            a, b = linked(key, fp.view(np.uint64), dense, bits)
+            a, b = compare_keys(key, fp.view(np.uint64), dense, bits)
             return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
 
         for batch in batches:
@@ -191,11 +187,22 @@ def links(fps: DataFrame, bits: int = BITS, masks: list[int] | None = None) -> D
         if len(rest_key):
             yield settle(rest_key, rest_fp)
 
-    met = fps.select("fp").distinct().mapInArrow(meet, "key long, fp long")
-    ordered = met.repartition("key").sortWithinPartitions("key", "fp")
+    met = fps.select("fp").distinct().mapInArrow(meet, "key long, fp long").repartition("key")
+    # One order of all fingerprints, so that a class has the same leader under most keys.
+    ordered = met.sortWithinPartitions("key", F.xxhash64("fp") if mix_order else F.col("fp"))
     return ordered.mapInArrow(compare, "a long, b long")
 
 
+def links(fps: DataFrame, bits: int = BITS, masks: list[int] | None = None) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp), enough to connect what is linked.
+
+    Fingerprints meet when the references of one of ``masks`` see no difference; without
+    masks no pair within ``bits`` is missed. A meeting place is compared inside one task in
+    blocks; what leaves it is at most one link per fingerprint, never all pairs.
+    """
+    return _meet(fps, bits, masks or agreeing(bits), linked)
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, bits: int = BITS, masks: list[int] | None = None) -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` of every document.
 
@@ -218,3 +225,97 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# ---- duplicates by verified similarity -----------------------------------------------
+
+STAGE_SHINGLE = 5
+STAGE_SIMILARITY = 0.8
+STAGE_BITS = 14  # two texts of that similarity rarely differ in more
+FULL = np.iinfo(np.int64).max
+
+
+def _led(key: np.ndarray, fp: np.ndarray, dense: list[int], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (positions leader, follower): in every key, the first open row leads those of the
+    open rows within ``bits``, then the next one, until none is open. ``key`` is sorted."""
+    pivots = np.stack([_distance(fp, r) for r in dense])
+    open_, out = np.arange(len(key)), [(np.zeros(0, int), np.zeros(0, int))]
+    while len(open_):
+        head = np.append(True, key[open_[1:]] != key[open_[:-1]])
+        leader = open_[np.maximum.accumulate(np.where(head, np.arange(len(open_)), 0))]
+        rest = ~head
+        a, b = _survivors(fp, pivots, leader[rest], open_[rest], bits)
+        out.append((a, b))
+        taken = np.zeros(len(key), bool)
+        taken[b] = True
+        left = open_[rest & ~taken[open_]]
+        # Rows that are alone under their key have nobody to follow or lead.
+        if len(left):
+            same = key[left[1:]] == key[left[:-1]]
+            left = left[np.append(same, False) | np.append(False, same)]
+        open_ = left
+    return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+
+
+def leaders(fps: DataFrame, bits: int, masks: list[int]) -> DataFrame:
+    """Candidate pairs (a, b) of distinct fingerprints: each to the first near one it meets."""
+    return _meet(fps, bits, masks, _led, mix_order=True)
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
+def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, bits: int = STAGE_BITS) -> DataFrame:
+    """``docs`` with one document of every near-duplicate class, all columns kept.
+
+    Texts are linked when the Jaccard similarity of their shingles is at least
+    ``similarity``. Candidates differ in at most ``bits`` fingerprint bits and agree for one of
+    the sampled reference sets; every candidate is verified on the whole texts. Of a class the
+    smallest doc_id stays (a null one only where there is no other), of repeated rows one.
+    Null, empty and blank texts are one class. An empty table gives no rows.
+    """
+    # Row keys by name: equal texts have one text_key, whatever else their rows hold.
+    marked_docs = docs.withColumn("_llm_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = [hashes(t, width) for t in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"],
+                    "key": batch["key"],
+                    "fp": np.array([fingerprint(v) for v in values], np.uint64).view(np.int64),
+                    "shingles": [np.unique((v >> np.uint64(32)).astype("<u4")).tobytes() for v in values],
+                }
+            )
+
+    ids = marked_docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL)).alias("doc_id"), F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
+    rows = staged(ids.mapInPandas(mark, "doc_id long, key long, fp long, shingles binary"))
+    texts = staged(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("fp").alias("fp")))
+    faces = staged(texts.groupBy("fp").agg(F.min("key").alias("face"), F.count(F.lit(1)).alias("n")))
+    same = texts.join(faces.where("n > 1"), "fp").where("key <> face").select(F.col("face").alias("a"), F.col("key").alias("b"))
+    near = leaders(faces, bits, sampled()).distinct()
+    left, right = faces.select(F.col("fp").alias("a"), F.col("face").alias("fa")), faces.select(F.col("fp").alias("b"), F.col("face").alias("fb"))
+    near = near.join(left, "a").join(right, "b").select(F.col("fa").alias("a"), F.col("fb").alias("b"))
+    pairs = staged(same.unionByName(near))
+    # Only texts in a pair bring their shingles, one row per text.
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = staged(rows.join(ends, "key", "left_semi").dropDuplicates(["key"]).select("key", "shingles"))
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype=float)
+
+    first, second = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    linked_ = pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
+    roots = components(linked_)
+    named = texts.join(roots, texts["key"] == roots["node"], "left").withColumn("root", F.coalesce("root", "key"))
+    best = named.groupBy("root").agg(F.min(F.struct("first", "key")).alias("stay"))
+    stay = best.select(F.col("stay.first").alias("_llm_first"), F.col("stay.key").alias("_llm_stay"))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
+    kept = marked_docs.join(stay, (F.col("_llm_key") == F.col("_llm_stay")) & (own == F.col("_llm_first")))
+    place = F.row_number().over(Window.partitionBy("_llm_stay", "_llm_first").orderBy("_llm_first"))
+    return kept.withColumn("_llm_place", place).where("_llm_place = 1").select(*[kept[c] for c in docs.columns])
