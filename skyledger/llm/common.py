@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,5 +96,10 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def per_process(name: str, make: Callable):
+    """``make()``, called once in a Python process: functions of this package travel by value,
+    and what they keep in globals would be built again for every task."""
+    held = sys.__dict__.setdefault("_skyledger_llm", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]

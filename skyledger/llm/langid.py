@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import staged, table
+from skyledger.llm.common import per_process, staged, table
 
 ORDER = 3
 SLOTS = 1 << 20
@@ -32,26 +32,21 @@ HELD_OUT = 0
 UNKNOWN = "und"
 WORD_BITS = 62  # languages per slot word
 
-_LETTERS: list[np.ndarray] = []
-
 
 def _letters() -> np.ndarray:
     """Per code point: its lower-case letter, or 0 for everything that is no letter."""
-    if not _LETTERS:
-        found = np.zeros(sys.maxunicode + 1, np.uint32)
-        for point in range(sys.maxunicode + 1):
-            char = chr(point)
-            if char.isalpha():
-                low = char.lower()
-                found[point] = ord(low[0]) if len(low) else point
-        _LETTERS.append(found)
-    return _LETTERS[0]
+    found = np.zeros(sys.maxunicode + 1, np.uint32)
+    for point in range(sys.maxunicode + 1):
+        char = chr(point)
+        if char.isalpha():
+            found[point] = ord(char.lower()[0])
+    return found
 
 
 def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Letters of all texts one after another, words and texts parted by 0; and each text's end."""
     joined = "\n".join(t or "" for t in texts)
-    letters = _letters()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    letters = per_process("letters", _letters)[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
     sizes = np.array([len(t or "") + 1 for t in texts], np.int64)
     return np.append(letters, np.uint32(0)), np.cumsum(sizes)
 

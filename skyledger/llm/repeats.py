@@ -8,8 +8,9 @@ is a short segment of text. Four steps:
 2. Each batch sends its names, four bytes each, to a place per range of names and learns
    which of them occur anywhere else. Windows with a name of their own are settled.
 3. The rest, cut into segments, meets by name; equal segments are one from here on. Each
-   meeting place builds a suffix array and a Burrows-Wheeler transform and expands intervals
-   up to ``length`` (``suffixes``), which gives the smallest doc_id for every window.
+   meeting place builds a suffix array and a Burrows-Wheeler transform of the different
+   segments that share a name and expands intervals up to ``length`` (``suffixes``), which
+   gives the smallest doc_id for every window.
 4. The answers go back to their batches, which mark the bytes covered by windows of a
    smaller doc_id.
 
@@ -34,10 +35,10 @@ from skyledger.llm.common import staged, table
 from skyledger.llm.suffixes import smallest_owner
 
 LENGTH = 50
-BATCH = 4 << 20  # bytes of text in a batch
+BATCH = 2 << 20  # bytes of text in a batch
 NAMES = 2_000_000  # names a place of step 2 gets, about
-PLACE = 2 << 20  # bytes of segments a place of step 3 gets, about
-PART = 4 << 20  # bytes of different segments that are sorted at once
+PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
+PART = 1 << 20  # bytes of different segments that are sorted at once
 
 FIRST_GRAM, SECOND_GRAM = 20, 16
 
@@ -306,25 +307,27 @@ def send_segments(opened: DataFrame, length: int, places: int) -> DataFrame:
     return opened.mapInPandas(send, "place long, batch long, sizes binary, owners binary, body binary, n_bytes long")
 
 
-def _parts(contents: list[bytes], length: int) -> list[list[int]]:
-    """Which contents to sort together: all, or several parts that no window name spans."""
-    if sum(map(len, contents)) <= PART:
-        return [list(range(len(contents)))]
+def _parts(contents: list[bytes], length: int) -> tuple[list[int], list[list[int]]]:
+    """The contents that are alone under their window name, which share no string with any
+    other, and the rest in parts to sort together; no name is in two parts."""
     gram = min(SECOND_GRAM, length)
     names = np.empty(len(contents), np.uint64)
-    for s in range(0, len(contents), 20_000):
-        some = contents[s : s + 20_000]
+    for s in range(0, len(contents), 5_000):
+        some = contents[s : s + 5_000]
         starts = np.cumsum([0, *map(len, some)])[:-1]
         names[s : s + len(some)] = window_names(np.frombuffer(b"".join(some), np.uint8), length, gram)[starts]
-    out, part, held, last = [], [], 0, None
-    for i in np.argsort(names, kind="stable").tolist():
+    _, inverse, count = np.unique(names, return_inverse=True, return_counts=True)
+    alone = count[inverse] == 1
+    parts, part, held, last = [], [], 0, None
+    order = np.argsort(names, kind="stable")
+    for i in order[~alone[order]].tolist():
         if held > PART and names[i] != last:
-            out.append(part)
+            parts.append(part)
             part, held = [], 0
         part.append(i)
         held += len(contents[i])
         last = names[i]
-    return [*out, part]
+    return np.flatnonzero(alone).tolist(), [*parts, part] if part else parts
 
 
 def _answer_segments(length: int):
@@ -343,7 +346,10 @@ def _answer_segments(length: int):
         smallest = np.full(len(contents), np.iinfo(np.int64).max)
         np.minimum.at(smallest, np.concatenate(which), np.concatenate(owners))
         answers: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(contents)
-        for part in _parts(contents, length):
+        alone, parts = _parts(contents, length)
+        for i in alone:
+            answers[i] = (np.array([len(contents[i]) - length + 1], "<u2"), smallest[i : i + 1])
+        for part in parts:
             some = [contents[i] for i in part]
             found, starts = smallest_owner(some, smallest[part], length)
             sizes = np.array([len(c) for c in some], np.int64) - length + 1  # windows

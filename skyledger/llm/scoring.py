@@ -32,11 +32,11 @@ from skyledger.llm.repeats import batches, runs, squeeze, thaw, widen
 from skyledger.llm.simhash import LOWER
 
 ORDER = 5
-BATCH = 8 << 20
+BATCH = 3 << 20
 PLACE = 64 << 20  # bytes of text whose keys one place gets
 FOLDS, HELD_OUT = 5, 1
 START, END = 0xFE, 0xFF  # two byte values that no UTF-8 text holds
-TABLE = 1 << 26
+TABLE = 1 << 25
 
 
 NO_ID = -(1 << 63)  # stands for a null doc_id
@@ -58,22 +58,23 @@ def number_grams(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For every place the number of the ``width`` bytes that end there (from place width - 1
     on), and the bytes of each number as one integer, in increasing order."""
     used = np.flatnonzero(np.bincount(data, minlength=256))
-    to = np.zeros(256, np.int64)
+    to = np.zeros(256, np.int32)
     to[used] = np.arange(len(used))
     code = to[data]
     ids, grams = code, used.astype(np.uint64)
     for k in range(1, width):
-        key = ids[:-1] * len(used) + code[k:]
         size = len(grams) * len(used)
+        key = ids[:-1].astype(np.int32 if size <= TABLE else np.int64) * len(used) + code[k:]
         if size <= TABLE:
             seen = np.zeros(size, bool)
             seen[key] = True
             distinct = np.flatnonzero(seen)
             number = np.zeros(size, np.int32)
             number[distinct] = np.arange(len(distinct), dtype=np.int32)
-            ids = number[key].astype(np.int64)
+            ids = number[key]
         else:
             distinct, ids = np.unique(key, return_inverse=True)
+            ids = ids.astype(np.int32)
         grams = (grams[distinct // len(used)] << np.uint64(8)) | used[distinct % len(used)].astype(np.uint64)
     return ids, grams
 

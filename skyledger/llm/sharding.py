@@ -2,8 +2,8 @@
 
 Documents with equal texts are linked. Each linked document starts in a shard of its own
 rank; then, round by round, the links pull it to the shard where most of its neighbours
-are, as far as that shard has room. Documents without links fill the shards up, so the
-counts end at most one apart and only groups larger than the free room are cut.
+are, as far as the quotas allow: as many as want to go the other way, and what room there
+is. Documents without links fill the shards up, so the counts end at most one apart.
 
 A group is a clique, so its documents are counted per (group, shard) instead of writing
 down its links: a round is one join of those counts, however large the group.
@@ -11,7 +11,7 @@ down its links: a round is one join of those counts, however large the group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import SAFE, gapless, staged, table
@@ -25,10 +25,6 @@ def _capacity(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
-def _by_shard(values: list[int], shard: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), shard + 1)
-
-
 def _loads(state: DataFrame, shards: int) -> list[int]:
     found = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     return [found.get(s, 0) for s in range(shards)]
@@ -50,24 +46,45 @@ def _start(groups: DataFrame, rows: int, shards: int, buckets: int) -> DataFrame
     return spread.select("grp", F.pmod(F.col("first") + F.col("k"), F.lit(shards)).alias("shard"), count.cast("long").alias("n"))
 
 
+def _quotas(wishes: dict[tuple[int, int], int], room: list[int]) -> list[tuple[int, int, int]]:
+    """How many documents may go from shard to shard: as many as come the other way, and
+    then what room there is."""
+    quota = {(s, t): min(n, wishes.get((t, s), 0)) for (s, t), n in wishes.items()}
+    room = list(room)
+    for (s, t), n in sorted(wishes.items(), key=lambda x: (-x[1], x[0])):
+        more = min(n - quota[s, t], room[t])
+        quota[s, t] += more
+        room[t] -= more
+    return [(s, t, n) for (s, t), n in quota.items() if n]
+
+
 def _round(state: DataFrame, capacity: list[int], shards: int, buckets: int) -> DataFrame:
-    """Moves documents to the shard that most of their neighbours are in, within its room."""
+    """Moves documents to the shard that most of their neighbours are in, within the quotas.
+
+    A group that no shard can hold is drawn to as few of its shards as can.
+    """
     loads = _loads(state, shards)
     room = [max(0, c - n) for c, n in zip(capacity, loads)]
-    best = state.groupBy("grp").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("best"), F.sum("n").alias("all"))
-    joined = state.join(best, "grp").withColumn("to", (-F.col("best.s")).cast("int"))
-    wish = joined.where("shard <> to").select("grp", "shard", "n", "to", "all")
-    # Admit the wishes of a shard in order of group size until its room is used up. Sums run
-    # in two levels: by bucket of (size class, hash), then within the bucket.
+    places = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.xxhash64("grp", "shard").alias("h"), "shard", "n")))
+    groups = state.groupBy("grp").agg(places.alias("places"), F.sum("n").alias("all"))  # an entry a shard at most
+    enough = F.least(F.ceil(F.col("all") / max(1, min(capacity))), F.size("places"))
+    spread = groups.select("grp", "all", "places", enough.cast("int").alias("k"), F.posexplode("places").alias("pos", "here"))
+    to = F.element_at("places", (F.col("pos") % F.col("k") + 1).cast("int"))["shard"]
+    wish = spread.where("pos >= k").select("grp", "all", F.col("here.shard").alias("shard"), F.col("here.n").alias("n"), to.alias("to"))
+    wish = staged(wish)
+    flows = {(r["shard"], r["to"]): r["t"] for r in wish.groupBy("shard", "to").agg(F.sum("n").alias("t")).collect()}
+    spark = state.sparkSession
+    quotas = spark.createDataFrame(_quotas(flows, room), "shard int, to int, quota long")
+    # Admit the wishes from shard to shard in order of group size until the quota is used up.
+    # Sums run in two levels: by bucket of (size class, hash), then within the bucket.
     level = (F.lit(64) - F.ceil(F.log2(F.col("all"))).cast("int")) * buckets + F.pmod(F.xxhash64("grp"), F.lit(buckets)).cast("int")
-    wish = wish.withColumn("level", level)
-    sums = wish.groupBy("to", "level").agg(F.sum("n").alias("t"))
-    before = Window.partitionBy("to").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("to", "level", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("to", "level").orderBy("grp", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    wish = wish.withColumn("off", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(sums, ["to", "level"])
-    left = _by_shard(room, F.col("to")) - F.col("base") - F.col("off")
-    moved = F.greatest(F.lit(0), F.least(F.col("n"), left)).cast("long")
+    wish = wish.join(quotas, ["shard", "to"]).withColumn("level", level)
+    sums = wish.groupBy("shard", "to", "level").agg(F.sum("n").alias("t"))
+    before = Window.partitionBy("shard", "to").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("shard", "to", "level", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
+    inner = Window.partitionBy("shard", "to", "level").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    wish = wish.withColumn("off", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(sums, ["shard", "to", "level"])
+    moved = F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("base") - F.col("off"))).cast("long")
     wish = wish.select("grp", "shard", "to", moved.alias("moved")).where("moved > 0")
     change = wish.select("grp", "shard", (-F.col("moved")).alias("n")).unionByName(
         wish.select("grp", F.col("to").alias("shard"), F.col("moved").alias("n"))
@@ -82,7 +99,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     empty text: size 16, crc32 0). Rows with one doc_id are separate documents. An empty
     table gives no rows. Other columns are left out of the result.
 
-    The driver holds one number per shard. Ranks and room are prefix sums in two levels,
+    The driver holds one number per pair of shards at most. Ranks and room are prefix sums in two levels,
     so no group, shard or key is ordered in a single task.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import table
+from skyledger.llm.common import per_process, table
 
 VOCABULARY = "byte_bpe_50k"
 CACHE = 600_000
@@ -85,13 +85,8 @@ class Encoder:
         return (self._fresh(first) if first else b"") + b"".join(found)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    return per_process(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
 
 
 def line_sections(text: bytes) -> np.ndarray:
