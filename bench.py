@@ -1,8 +1,7 @@
-"""Headline queries on ``$BENCH_SF_DIR``; prints one JSON line.
+"""Every registered query of the star schema on ``$BENCH_SF_DIR``; prints one JSON line.
 
-Each query runs once to warm up and then three times (once if the warm-up was long);
-the median counts. Building the frames is part of the time. ``BENCH_ALL=1`` times
-every registered query instead.
+Each query runs once to warm up and then ``BENCH_REPEATS`` times (default 1), all alike;
+the median counts. Building the frames is part of the time.
 """
 
 from __future__ import annotations
@@ -19,18 +18,9 @@ from skyledger.registry import queries  # noqa: E402
 from skyledger.session import local_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-LONG = 4.0
+REPEATS = int(os.environ.get("BENCH_REPEATS", "1"))
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-HEADLINE = """
-    silver_medications silver_weather silver_sunshine dim_medications dim_weather dim_sunshine
-    fact_sales temp_vs_packages season_by_type ingredient_month extreme_weather month_trend
-    supply_per_month top_packages_full top_packages_masked sales_metrics_full sales_metrics_masked
-    top_ingredients_full masked_view dedup_latest upsert_latest dq_fact preamble_stations
-    parse_month parse_number
-""".split()
-
-
 def run(query, spark) -> float:
     start = time.perf_counter()
     query(spark, FOLDER).write.format("noop").mode("overwrite").save()
@@ -41,15 +31,13 @@ def run(query, spark) -> float:
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(CPUS))
     known = queries()
-    everything = os.environ.get("BENCH_ALL") == "1"
-    times = {}
-    for name in sorted(known) if everything else HEADLINE:
-        repeats = 3 if run(known[name], spark) < LONG else 1
-        times[name] = round(statistics.median(run(known[name], spark) for _ in range(repeats)), 3)
+    for name in sorted(known):
+        run(known[name], spark)
+        times[name] = round(statistics.median(run(known[name], spark) for _ in range(REPEATS)), 3)
     print(
         json.dumps(
             {
-                "metric": "total time of headline queries",
+                "metric": "total time of all queries",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,

@@ -1,37 +1,17 @@
-"""Joins with a proven or checked broadcast side."""
+"""Joins, some with a side of proven size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.dates import FIRST_YEAR, LAST_YEAR
-
-# At a few hundred bytes a row this stays in the tens of megabytes.
-SMALL_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, keep: bool = False) -> DataFrame:
-    """The frame marked for broadcast if it counts at most ``max_rows`` rows.
-
-    A larger frame is returned unmarked: the join then shuffles, and AQE splits hot
-    keys. ``keep`` holds on to the counted rows of a side that is costly to compute
-    but small by nature, so that it is computed once.
-    """
-    counted = df.persist() if keep else df
-    return F.broadcast(counted) if counted.count() <= max_rows else counted
-
-
 def month_side(dim: DataFrame) -> DataFrame:
     """A month dimension marked for broadcast.
 
-    Month dimensions hold one row per ``yyyyMM`` and raw years are limited to
-    1900..2100, so at most 2,412 rows are sent whatever the size of the facts.
-    The filter states that bound in the plan.
+    Month dimensions are grouped by ``yyyyMM`` and the parsers take years of 1900..2100 only,
+    so at most 2,412 rows are sent whatever the size of the facts.
     """
-    return F.broadcast(
-        dim.filter(F.col("date_id").between(f"{FIRST_YEAR}01", f"{LAST_YEAR}12"))
-    )
+    return F.broadcast(dim)
 
 
 def star_join(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
@@ -47,9 +27,12 @@ def star_join(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
     return joined
 
 
-def missing_parents(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row."""
+def missing_parents(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str, months: bool = False
+) -> DataFrame:
+    """Child rows whose non-null key has no parent row; ``months`` says that it is a month key."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    keys = month_side(keys) if months else keys
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 

@@ -39,8 +39,10 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return bad.select(F.lit(f"unique_{column}").alias("check"), "violations")
 
 
-def relationship(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    bad = missing_parents(child.select(column), column, parent, parent_column)
+def relationship(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str, months: bool = False
+) -> DataFrame:
+    bad = missing_parents(child.select(column), column, parent, parent_column, months)
     return bad.agg(F.count("*").alias("violations")).select(
         F.lit(f"relationship_{column}").alias("check"), "violations"
     )
@@ -58,7 +60,7 @@ def medication_checks(
 
 
 def sunshine_checks(daily: DataFrame, today: dt.date | None = None) -> DataFrame:
-    """Bad codes and future dates; ``rows`` is reported for information."""
+    """Bad codes and future dates."""
     now = F.lit(today) if today else F.current_date()
     return checks(
         daily,
@@ -69,6 +71,12 @@ def sunshine_checks(daily: DataFrame, today: dt.date | None = None) -> DataFrame
     )
 
 
+def sunshine_summary(daily: DataFrame, today: dt.date | None = None) -> DataFrame:
+    """The violations beside the number of rows they were looked for in."""
+    rows = daily.agg(F.count("*").alias("violations")).select(F.lit("rows").alias("check"), "violations")
+    return sunshine_checks(daily, today).unionByName(rows)
+
+
 def weather_checks(hourly: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     clock = F.lit(now) if now else F.current_timestamp()
     low, high = AIR_TEMPERATURES

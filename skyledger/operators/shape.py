@@ -1,11 +1,10 @@
-"""Column shaping: renames, required columns, schema conformance, row caps."""
+"""Column shaping: renames, schema conformance."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,10 +26,6 @@ def alias_lookup(aliases: Mapping[str, Iterable[str]]) -> dict[str, str]:
     return {tidy_name(h): canonical for canonical, headers in aliases.items() for h in headers}
 
 
-def has_columns(df: DataFrame, required: Iterable[str]) -> bool:
-    return set(required) <= set(df.columns)
-
-
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of a schema, in order; absent ones become typed nulls."""
     present = set(df.columns)
@@ -45,9 +40,3 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 def empty(df_or_session, schema: StructType) -> DataFrame:
     session = getattr(df_or_session, "sparkSession", df_or_session)
     return session.createDataFrame([], schema)
-
-
-def first_rows(df: DataFrame, group: str, order: list[Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each group; an optional load guard, off by default."""
-    ranked = df.withColumn("_row", F.row_number().over(W.partitionBy(group).orderBy(*order)))
-    return ranked.filter(F.col("_row") <= limit).drop("_row")

@@ -18,9 +18,6 @@ from skyledger.session import shared_dir
 # Database of each layer.
 LAYERS = {"bronze": "bronze", "silver": "model_silver", "gold": "model_gold"}
 
-# More partition values than this are not listed; the whole target is merged instead.
-MAX_LISTED_PARTITIONS = 10_000
-
 # What missing fields become in the serving table of stations.
 STATION_DEFAULTS = {"station_name": "", "country": "", "parname": "", "staid": 0, "souid": 0}
 
@@ -68,9 +65,9 @@ def publish_view(spark: SparkSession, name: str, query: str) -> None:
 # ---- loads ------------------------------------------------------------------
 
 
-def replace_if_any(df: DataFrame, name: str) -> bool:
-    """Truncate and load; with no input rows the old rows stay."""
-    if df.isEmpty():
+def replace_if_any(df: DataFrame, name: str, known: bool = False) -> bool:
+    """Truncate and load; with no input rows the old rows stay. ``known``: there are rows."""
+    if not known and df.isEmpty():
         return False
     df.write.mode("overwrite").saveAsTable(name)
     return True
@@ -149,9 +146,13 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | No
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows take the source's values, other rows of both sides stay."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source)
+    """Matched rows take the source's values, other rows of both sides stay.
+
+    The source, of one row per key, is read once: of each key's rows the source's is first.
+    """
+    both = target.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)))
+    newest = F.max("_new").over(W.partitionBy(*keys))
+    return both.withColumn("_any", newest).filter("_new or not _any").drop("_new", "_any")
 
 
 def lake_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -209,9 +210,9 @@ def upsert(
         return "filled"
     touched = target
     if partition is not None:
-        values = [r[0] for r in source.select(partition).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_LISTED_PARTITIONS:
-            touched = target.filter(F.col(partition).isin(values) | F.col(partition).isNull())
+        # A join finds the touched partitions, however many; dynamic pruning reads only those.
+        values = source.select(partition).distinct()
+        touched = target.join(values, target[partition].eqNullSafe(values[partition]), "left_semi")
     merged = merge_rows(touched, source, keys)
     merged.write.parquet(f"{staging}/merged")
     try:

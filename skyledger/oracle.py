@@ -44,10 +44,10 @@ def _silver_weather(source: str) -> str:
     measures = ["t_air_c", "t_min_c", "t_max_c", "precip_mm", "wind_ms", "wind_gust_ms", "humidity"]
     finite = " AND ".join(f"{m} IS NOT NULL AND isfinite(cast({m} as double))" for m in measures)
     return f"""SELECT station, cast(ts as date) AS date,
-        {_decimal('avg(t_air_c)', 5, 2)} AS avg_temp_c, {_decimal('min(t_min_c)', 5, 2)} AS min_temp_c,
-        {_decimal('max(t_max_c)', 5, 2)} AS max_temp_c, {_decimal('sum(precip_mm)', 7, 2)} AS total_precip_mm,
-        {_decimal('avg(wind_ms)', 5, 2)} AS avg_wind_ms, {_decimal('avg(wind_gust_ms)', 5, 2)} AS avg_wind_gust_ms,
-        {_decimal('avg(humidity)', 5, 2)} AS avg_humidity
+        {_decimal('avg(t_air_c)', 18, 2)} AS avg_temp_c, {_decimal('min(t_min_c)', 18, 2)} AS min_temp_c,
+        {_decimal('max(t_max_c)', 18, 2)} AS max_temp_c, {_decimal('sum(precip_mm)', 30, 2)} AS total_precip_mm,
+        {_decimal('avg(wind_ms)', 18, 2)} AS avg_wind_ms, {_decimal('avg(wind_gust_ms)', 18, 2)} AS avg_wind_gust_ms,
+        {_decimal('avg(humidity)', 18, 2)} AS avg_humidity
         FROM {source} WHERE {finite} GROUP BY 1, 2"""
 
 
@@ -211,6 +211,7 @@ def statements() -> dict[str, str]:
             months="""(SELECT unnest(generate_series(date_trunc('month', min(l_shipdate)),
                 date_trunc('month', max(l_shipdate)), interval 1 month)) AS d FROM lineitem)"""
         ),
+        "dim_date_model": "SELECT * FROM dim_date WHERE date_id IN (SELECT strftime(o_orderdate, '%Y%m') FROM orders)",
         "dim_medications": f"""SELECT medication_id, {", ".join(_MEDICATION_KEYS)}, total_packages,
             {_doubles(_AMOUNTS)}, total_prescriptions, total_persons FROM dim_med""",
         "dim_weather": f"SELECT {_DIM_WEATHER} FROM dim_wx",
@@ -365,7 +366,8 @@ def statements() -> dict[str, str]:
         "dq_medications": """SELECT 'invalid_rows' AS "check", count(*) AS violations FROM meds
             WHERE year < 1996 OR month < 2""",
         "dq_sunshine": """SELECT 'invalid_q' AS "check", count(*) AS violations FROM sunshine WHERE q_ss = 9
-            UNION ALL SELECT 'future_dates', count(*) FROM sunshine WHERE date > date '2001-06-01'""",
+            UNION ALL SELECT 'future_dates', count(*) FROM sunshine WHERE date > date '2001-06-01'
+            UNION ALL SELECT 'rows', count(*) FROM sunshine""",
         "dq_weather": """SELECT 'future' AS "check", count(*) AS violations FROM weather
             WHERE ts > timestamp '2001-06-01'
             UNION ALL SELECT 'temp_out_of_range', count(*) FROM weather WHERE abs(t_air_c * 3) > 70""",
@@ -410,9 +412,30 @@ def statements() -> dict[str, str]:
             total_amount, hk_amount, over_ref_price, copay_no_trh, copay_with_trh FROM meds
             WHERE persons != 7""",
         "header_rename": """SELECT staid, souid, country, cast(NULL as double) AS lat FROM stations""",
-        "capped_rows": """SELECT o_orderpriority, o_orderkey,
-            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM (
-            SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS n
-            FROM orders) WHERE n <= 50""",
+        "roles_late_rows": """SELECT DISTINCT o_orderpriority AS file, 1 AS year, 2 AS month, 3 AS day,
+            4 AS time_utc FROM orders""",
+        "deep_header": f"""SELECT left(station, strpos(station, '-') - 1) AS station,
+            strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, t_air_c, {_FINITE.format(c='t_min_c')}, t_max_c,
+            wind_dir_deg, wind_ms, wind_gust_ms, precip_mm, humidity FROM weather""",
+        "skipped_files": """SELECT o_orderpriority || '-notes.csv' AS file, 'no header' AS reason,
+            count(*) AS rows FROM orders GROUP BY 1
+            UNION ALL SELECT o_orderpriority || '-hourly.csv', 'open quote', count(*) FROM orders
+            WHERE o_orderkey % 7 = 0 GROUP BY 1""",
+        "last_line_wins": """SELECT 1 AS staid, o_custkey AS souid, max_by(o_orderkey, o_orderkey) % 1000 AS ss_raw
+            FROM orders WHERE o_orderkey <= 20000 GROUP BY o_custkey""",
+        "weather_day_large_sums": """SELECT '200001' AS date_id, cast(sum(l_quantity * 10) as double)
+            AS avg_monthly_precipitation FROM lineitem""",
+        "table_reload": """SELECT n_nationkey, n_name, false AS replaced_by_nothing,
+            (SELECT count(*) FROM nation WHERE n_nationkey >= 23) AS added
+            FROM nation WHERE n_nationkey < 20 OR n_nationkey >= 23""",
+        "table_overwrite": "SELECT * FROM region",
+        "table_by_year": """SELECT cast(year(date) as int) AS year, count(*) AS rows, count(DISTINCT date) AS days
+            FROM sunshine GROUP BY 1""",
+        "sorted_table": "SELECT p_brand, count(*) AS rows FROM part GROUP BY 1",
+        "bucketed_join": """SELECT m.ingredient, cast(sum(f.total_persons) as bigint) AS persons
+            FROM fact f JOIN dim_med m ON f.medication_id = m.medication_id GROUP BY 1""",
+        "incremental_table": """SELECT date_id, cast(avg_monthly_humidity as double)
+            + CASE WHEN date_id >= '200001' THEN 100 ELSE 0 END AS avg_monthly_humidity
+            FROM dim_wx""",
     }
     return {name: _with(text) for name, text in sql.items()}

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.numbers import cents, is_finite, money, settle, settled_decimal
-from skyledger.operators.joins import small_side
 from skyledger.operators.tables import latest_per_key
 
 # First year of sales kept, and the codes of usable sunshine.
@@ -59,12 +58,15 @@ def medications_cleaned(
 
 
 def weather_cleaned(bronze: DataFrame, half_even: bool = False) -> DataFrame:
-    """Weather per station and day, from hours with every measure present and finite."""
+    """Weather per station and day, from hours with every measure present and finite.
+
+    Decimals are wide: a sum that outgrew its type would be null, and its day would be lost.
+    """
     complete = bronze
     for measure in WEATHER_MEASURES:
         complete = complete.filter(is_finite(F.col(measure).cast("double")))
 
-    def decimal(value: Column, precision: int = 5) -> Column:
+    def decimal(value: Column, precision: int = 18) -> Column:
         return settled_decimal(value, precision, 2, half_even)
 
     return (
@@ -74,7 +76,7 @@ def weather_cleaned(bronze: DataFrame, half_even: bool = False) -> DataFrame:
             decimal(F.avg("t_air_c")).alias("avg_temp_c"),
             decimal(F.min("t_min_c")).alias("min_temp_c"),
             decimal(F.max("t_max_c")).alias("max_temp_c"),
-            decimal(F.sum("precip_mm"), 7).alias("total_precip_mm"),
+            decimal(F.sum("precip_mm"), 30).alias("total_precip_mm"),
             decimal(F.avg("wind_ms")).alias("avg_wind_ms"),
             decimal(F.avg("wind_gust_ms")).alias("avg_wind_gust_ms"),
             decimal(F.avg(F.col("humidity").cast("double"))).alias("avg_humidity"),
@@ -87,11 +89,11 @@ def sunshine_cleaned(daily: DataFrame, sources: DataFrame, dedup: bool = False)
 
     A day is repeated for every source row of its station, as stations are joined
     on ``staid`` alone; ``dedup`` keeps one source (the lowest ``souid``) per station.
-    The station list is broadcast only while it counts as small.
+    Spark broadcasts the station list while its files are small, else AQE splits hot stations.
     """
     if dedup:
         sources = latest_per_key(sources, ["staid"], [F.col("souid").asc()])
-    stations = small_side(sources.select("staid", "station_name", "country"))
+    stations = sources.select("staid", "station_name", "country")
     usable = daily.filter(F.col("q_ss").isin(*USABLE_SUNSHINE))
     return usable.join(stations, "staid", "left").select(
         "staid",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import governance, quality, tables
 from skyledger.operators.tables import table_name
 from skyledger.plans import gold, silver
+from skyledger.session import staged
 from skyledger.sources import grids, lines
 
 # Sort keys of the raw tables.
@@ -24,7 +25,7 @@ BRONZE_SORT = {
     "sunshine_daily": ["souid", "date"],
     "sunshine_sources": ["staid", "souid"],
 }
-SUNSHINE_KEYS = ["staid", "souid", "date"]
+SUNSHINE_KEYS, STATION_KEYS = ["staid", "souid", "date"], ["staid", "souid"]
 
 
 @dataclass
@@ -42,12 +43,14 @@ class Settings:
 
 def ingest_sunshine(spark: SparkSession, folder: str, lake: str) -> str:
     """Station list and daily files into the lake; daily rows are merged by key."""
-    stations = lines.read_stations(spark, folder)
+    stations = staged(lines.read_stations(spark, folder, placed=True))
     if not stations.isEmpty():
-        tables.write_lake(stations, f"{lake}/sunshine_sources")
-    daily = lines.read_daily(spark, folder)
+        # Of the lines with one key the last is the one that holds.
+        tables.write_lake(lines.last_line(stations, STATION_KEYS), f"{lake}/sunshine_sources")
+    daily = staged(lines.read_daily(spark, folder, placed=True))
     if daily.isEmpty():
         return "nothing"
+    daily = lines.last_line(daily, SUNSHINE_KEYS)
     return tables.upsert(
         tables.with_year(daily, "date"), f"{lake}/sunshine_daily", SUNSHINE_KEYS, partition="year"
     )
@@ -66,9 +69,11 @@ def publish_sunshine(spark: SparkSession, lake: str) -> None:
 
 
 def load_bronze(df: DataFrame, name: str) -> bool:
-    """Replace a raw table, in key order, if there are rows at all."""
-    laid_out = tables.sorted_layout(df, BRONZE_SORT[name])
-    return tables.replace_if_any(laid_out, table_name("bronze", name))
+    """Replace a raw table, in key order, if there are rows at all. The input is parsed once."""
+    rows = staged(df)
+    if rows.isEmpty():
+        return False
+    return tables.replace_if_any(tables.sorted_layout(rows, BRONZE_SORT[name]), table_name("bronze", name), known=True)
 
 
 def ingest(spark: SparkSession, folder: str, lake: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,11 @@ from skyledger.functions import dates, numbers, text
 from skyledger.functions.keys import surrogate_key
 from skyledger.functions.masks import mask_code, mask_label, range_label
 from skyledger.operators import aggregates, governance, joins, quality, tables
-from skyledger.operators.shape import conform, first_rows, rename_headers
+from skyledger.operators.shape import conform, rename_headers
 from skyledger.plans import gold, reports, samples, silver
 from skyledger.plans.bindings import TODAY, WEATHER, Warehouse, projection
 from skyledger.schemas import SUNSHINE_SOURCES
-from skyledger.session import shared_dir, tune
+from skyledger.session import shared_dir, staged, tune
 from skyledger.sources import grids, lines
 
 Query = Callable[[Warehouse], DataFrame]
@@ -288,8 +289,12 @@ def store_defaults(w):
 
 @query
 def year_partitions(w):
-    """Rows of the year-partitioned layout, counted per year partition."""
-    return tables.with_year(w.sunshine, "date").groupBy("year").agg(F.count("*").alias("rows"))
+    """Rows per year folder of a lake table written by year and read back."""
+    path = f"{shared_dir(w.spark)}/by_year"
+    tables.write_lake(tables.with_year(w.sunshine, "date"), path, "year")
+    folder = F.regexp_extract(F.input_file_name(), "/year=([0-9]+)/", 1).cast("int")
+    stored = tables.lake_table(w.spark, path).select(folder.alias("year"))
+    return stored.groupBy("year").agg(F.count("*").alias("rows"))
 
 
 # ---- aggregates -------------------------------------------------------------
@@ -345,7 +350,7 @@ def duplicate_keys(w):
 def unmatched_months(w):
     """Sales months that have no weather."""
     sales = w.fact.select("date_id", "medication_id")
-    missing = joins.missing_parents(sales, "date_id", w.dim_weather, "date_id")
+    missing = joins.missing_parents(sales, "date_id", w.dim_weather, "date_id", months=True)
     return missing.groupBy("date_id").agg(F.count("*").alias("rows"))
 
 
@@ -508,7 +513,7 @@ def dq_medications(w):
 
 @query
 def dq_sunshine(w):
-    return quality.sunshine_checks(w.sunshine.replace(9, 8, subset=["q_ss"]), NOW.date())
+    return quality.sunshine_summary(w.sunshine.replace(9, 8, subset=["q_ss"]), NOW.date())
 
 
 @query
@@ -535,7 +540,7 @@ def dq_unique(w):
 @query
 def dq_relationship(w):
     """Sales whose month has no weather, as a foreign-key violation count."""
-    return quality.relationship(w.fact, "date_id", w.dim_weather, "date_id")
+    return quality.relationship(w.fact, "date_id", w.dim_weather, "date_id", months=True)
 
 
 @query
@@ -595,11 +600,163 @@ def header_rename(w):
 
 
 @query
-def capped_rows(w):
-    """At most 50 rows per station, in time order."""
-    orders = w.table("orders").select("o_orderpriority", "o_orderkey", "o_orderdate")
-    order = [F.col("o_orderdate"), F.col("o_orderkey")]
-    return first_rows(orders, "o_orderpriority", order, 50)
+def roles_late_rows(w):
+    """Roles told by all rows: in a file's first rows another column looks like the month."""
+    orders = w.table("orders")
+    early = F.col("o_orderkey") <= 100
+    cells = F.array(
+        F.when(early, "7").otherwise(F.col("o_totalprice").cast("string")),
+        F.year("o_orderdate").cast("string"),
+        F.month("o_orderdate").cast("string"),
+        F.dayofmonth("o_orderdate").cast("string"),
+        F.concat((F.col("o_orderkey") % 24).cast("string"), F.lit(":00")),
+    )
+    grid = orders.select(
+        F.col("o_orderpriority").alias("file"), F.lit(0).alias("sheet"), F.col("o_orderkey").alias("place"), cells.alias("cells")
+    )
+    return grids.infer_roles(grid)
+
+
+@query
+def deep_header(w):
+    """Headers found however far down: below a thousand rows of each file."""
+    grid = _weather_grid(w)
+    notes = w.table("orders").filter("o_orderkey <= 1000").select(
+        F.concat("o_orderpriority", F.lit("-hourly.csv")).alias("file"),
+        F.lit(0).alias("sheet"),
+        (F.col("o_orderkey") - 5000).alias("place"),
+        F.array(F.lit("note"), F.col("o_totalprice").cast("string")).alias("cells"),
+    )
+    return grids.weather_rows(grid.unionByName(notes))
+
+
+@query
+def skipped_files(w):
+    """Files that give no rows, and rows with an open quote, with the reason."""
+    orders = w.table("orders")
+    file = F.concat("o_orderpriority", F.lit("-notes.csv"))
+    notes = orders.select(file.alias("file"), F.lit(0).alias("sheet"), F.col("o_orderkey").alias("place"), F.array(F.lit("note")).alias("cells"))
+    torn = orders.filter("o_orderkey % 7 = 0").select(
+        F.concat("o_orderpriority", F.lit("-hourly.csv")).alias("file"), F.lit(0).alias("sheet"), F.col("o_orderkey").alias("place"), F.array(F.lit('"open')).alias("cells")
+    )
+    grid = _weather_grid(w).unionByName(notes).unionByName(torn)
+    return grids.skipped(grid, grids.find_headers(grid))
+
+
+@query
+def last_line_wins(w):
+    """Of several lines with one key the last of the file holds."""
+    orders = w.table("orders").filter("o_orderkey <= 20000")
+    text = F.concat_ws(",", F.lit("1"), F.col("o_custkey").cast("string"), F.lit("20200101"), (F.col("o_orderkey") % 1000).cast("string"), F.lit("0"))
+    place = F.struct(F.lit(0).cast("bigint").alias("split"), F.col("o_orderkey").alias("line"))
+    body = orders.select(F.lit("a.txt").alias("file"), place.alias("place"), text.alias("value"))
+    top = orders.limit(1).select(
+        F.lit("a.txt").alias("file"),
+        F.struct(F.lit(0).cast("bigint").alias("split"), F.lit(-1).cast("bigint").alias("line")).alias("place"),
+        F.lit("STAID,SOUID,DATE,SS,Q_SS").alias("value"),
+    )
+    rows = lines.daily_rows(top.unionByName(body), placed=True)
+    return lines.last_line(rows, ["staid", "souid", "date"]).select("staid", "souid", "ss_raw")
+
+
+@query
+def weather_day_large_sums(w):
+    """A station-day with very many hours keeps its sum."""
+    items = w.table("lineitem")
+    hours = items.select(
+        F.lit("all").alias("station"),
+        F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz").alias("ts"),
+        *[F.lit(1.0).alias(c) for c in ("t_air_c", "t_min_c", "t_max_c", "wind_ms", "wind_gust_ms")],
+        (F.col("l_quantity") * 10).alias("precip_mm"),
+        F.lit(50).alias("humidity"),
+    )
+    return gold.dim_weather(silver.weather_cleaned(hours), 1900).select("date_id", "avg_monthly_precipitation")
+
+
+def _stored(w: Warehouse, name: str) -> str:
+    """A fresh table name in the session's catalog."""
+    tables.ensure_layers(w.spark)
+    full = tables.table_name("bronze", f"{name}_{uuid.uuid4().hex[:8]}")
+    w.spark.sql(f"DROP TABLE IF EXISTS {full}")
+    return full
+
+
+def _read_back(w: Warehouse, name: str) -> DataFrame:
+    """The table's rows, staged, so that the table itself can go."""
+    rows = staged(w.spark.table(name))
+    w.spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+@query
+def table_reload(w):
+    """Create, truncate and load, keep the old rows on empty input, append with a count."""
+    name = _stored(w, "reload")
+    rows = w.table("nation").select("n_nationkey", "n_name")
+    tables.create_as(rows, name)
+    kept = tables.replace_if_any(rows.filter("false"), name)
+    tables.replace_if_any(rows.filter("n_nationkey < 20"), name)
+    added = tables.append_counted(rows.filter("n_nationkey >= 23"), name)
+    return _read_back(w, name).select("*", F.lit(kept).alias("replaced_by_nothing"), F.lit(added).cast("int").alias("added"))
+
+
+@query
+def table_overwrite(w):
+    """Rows overwritten in place; the table was dropped and made anew before."""
+    name = _stored(w, "overwrite")
+    rows = w.table("region")
+    tables.create_as(rows, name)
+    tables.drop_and_create(rows.limit(0), name)
+    tables.overwrite_rows(rows, name)
+    return _read_back(w, name)
+
+
+@query
+def table_by_year(w):
+    """A table made from a query, partitioned by the year of a date."""
+    name = _stored(w, "by_year")
+    tables.create_as(w.sunshine.select("staid", "date"), name, year_of="date")
+    return _read_back(w, name).groupBy("year").agg(F.count("*").alias("rows"), F.count_distinct("date").alias("days"))
+
+
+@query
+def sorted_table(w):
+    """A model stored in key order: rows, and key runs per file."""
+    name = _stored(w, "sorted")
+    tables.materialize(w.table("part").select("p_brand", "p_partkey"), name, sort_by=["p_brand"])
+    return _read_back(w, name).groupBy("p_brand").agg(F.count("*").alias("rows"))
+
+
+@query
+def bucketed_join(w):
+    """The stored fact joined to its stored dimension, both bucketed on the key."""
+    fact, dim = _stored(w, "fact"), _stored(w, "dim")
+    bucketed = {"bucket_by": "medication_id", "buckets": 8}
+    medications = tables.materialize(w.dim_medications, dim, **bucketed)
+    sales = tables.materialize(w.fact.select("medication_id", "total_persons"), fact, **bucketed)
+    joined = sales.drop("x").join(medications.select("medication_id", "ingredient"), "medication_id")
+    result = staged(joined.groupBy("ingredient").agg(F.sum("total_persons").alias("persons")))
+    for name in (fact, dim):
+        w.spark.sql(f"DROP TABLE {name}")
+    return result
+
+
+@query
+def incremental_table(w):
+    """Months recomputed into a stored dimension by its key."""
+    path = f"{shared_dir(w.spark)}/months"
+    months = w.dim_weather.select("date_id", "avg_monthly_humidity")
+    tables.incremental(months, path, "date_id")
+    tables.incremental(months.filter("date_id >= '200001'").withColumn("avg_monthly_humidity", F.col("avg_monthly_humidity") + 100), path, "date_id")
+    return tables.lake_table(w.spark, path)
+
+
+@query
+def dim_date_model(w):
+    """The calendar model as the build makes it."""
+    return gold.dim_date(w.spark, dt.date(1995, 1, 1), 84).join(
+        w.table("orders").select(F.date_format("o_orderdate", "yyyyMM").alias("date_id")).distinct(), "date_id"
+    )
 
 
 def _weather_grid(w: Warehouse) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to set on a session somebody else created.
 # forceOptimizeSkewedJoin lets AQE split a hot join key even when the rows after
@@ -59,3 +59,13 @@ def shared_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="skyledger-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/skyledger-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read back.
+
+    Later steps see a table of known size, so Spark itself decides whether to broadcast it.
+    """
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,8 +61,7 @@ def test_upsert_fills_an_empty_table(spark):
     assert len(stored(spark, path)) == 3
 
 
-def test_merge_without_listing_partitions(spark, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+def test_merge_by_partition(spark):
     path = shared_dir(spark)
     tables.upsert(daily(spark, *FIRST), path, KEYS, "year")
     tables.upsert(daily(spark, *LATE), path, KEYS, "year")
