@@ -524,7 +524,10 @@ def dq_weather(w):
 
 @query
 def dq_fact(w):
-    return quality.fact_checks(w.fact, w.dim_medications)
+    """The declared tests of the sales fact, on the star as it is stored."""
+    medications = staged(w.dim_medications)
+    fact = staged(gold.fact_medication_sales(medications, w.dim_weather, w.dim_sunshine))
+    return quality.fact_checks(fact, medications)
 
 
 @query
