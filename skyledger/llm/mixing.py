@@ -23,6 +23,7 @@ SHARE = 1.5
 MOST = 2.0
 BLOCK = 20_000
 LANDING = 10
+FEW = 10_000  # sources whose targets are sent to every task
 
 SHAPE = "doc_id long, source string, size long, source_size long, target double, copies int, chance double, block int"
 
@@ -136,7 +137,8 @@ def mix(
         [(r["source"], r["size"], g, g / r["size"] if r["size"] else 0.0, -(-r["n"] // block)) for r, g in zip(known, goal)],
         f"{SAFE}source string, source_size long, target double, {SAFE}rate double, {SAFE}blocks int",
     )
-    # One row per source: small beside the documents, and Spark decides how to join it.
+    # One row per source, counted; beyond FEW sources Spark decides how to join it.
+    per_source = F.broadcast(per_source) if len(known) <= FEW else per_source
     rows = sized.join(per_source, sized["source"].eqNullSafe(per_source[f"{SAFE}source"]))
     whole = F.floor(f"{SAFE}rate").cast("int")
     rows = rows.select(
