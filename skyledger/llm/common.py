@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import sys
 from collections.abc import Callable, Sequence
 
@@ -11,10 +13,18 @@ from pyspark.sql import functions as F
 from skyledger.session import shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
+ROWS_AT_ONCE = 500
 SAFE = "_llm_"  # prefix of helper columns, so that extra input columns cannot clash
 
 
+def light(spark: SparkSession) -> None:
+    """Hands texts to Python tasks a few hundred at a time: a Python worker then holds a few
+    megabytes of a large table at once, however long its texts are on average."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    light(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -22,15 +32,12 @@ def staged(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read back: cuts lineage, survives
     lost executors, and later steps do not compute them again."""
     spark = df.sparkSession
+    light(spark)
     path = shared_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
-    return max(least, -(-rows // per_partition))
-
-
 def gapless(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str, buckets: int) -> DataFrame:
     """``out``: a gapless number from 0 within ``keys``.
 
@@ -96,6 +103,38 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
+def tidy(function: Callable) -> Callable:
+    """``function`` for a Python task, giving freed memory back to the system when it ends:
+    workers live on, and what one stage's arrays left behind would add to the next one's."""
+
+    def release() -> None:
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    def over_batches(parts):
+        try:
+            yield from function(parts)
+        finally:
+            release()
+
+    def over_group(rows):
+        try:
+            return function(rows)
+        finally:
+            release()
+
+    def over_pair(rows, others):
+        try:
+            return function(rows, others)
+        finally:
+            release()
+
+    if inspect.isgeneratorfunction(function):
+        return over_batches
+    return over_group if len(inspect.signature(function).parameters) == 1 else over_pair
+
+
 def per_process(name: str, make: Callable):
     """``make()``, called once in a Python process: functions of this package travel by value,
     and what they keep in globals would be built again for every task."""

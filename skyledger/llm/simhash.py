@@ -21,13 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import components, staged, table
+from skyledger.llm.common import components, staged, table, tidy
 
 SHINGLE = 4
 BITS = 4
 BANDS = 7
 BLOCK = 1024
 SMALL = 64
+AT_ONCE = 50_000  # rows compared together
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -62,7 +63,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return ids.mapInPandas(run, "doc_id long, fp long")
+    return ids.mapInPandas(tidy(run), "doc_id long, fp long")
 
 
 # ---- reference fingerprints ------------------------------------------------------
@@ -175,15 +176,21 @@ def _meet(fps: DataFrame, bits: int, masks: list[int], compare_keys, mix_order:
             a, b = compare_keys(key, fp.view(np.uint64), dense, bits)
             return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
 
+        held, waiting = 0, []
         for batch in batches:
-            key = np.concatenate((rest_key, batch.column(0).to_numpy()))
-            fp = np.concatenate((rest_fp, batch.column(1).to_numpy()))
-            if not len(key):
+            waiting.append(batch)
+            held += len(batch)
+            if held < AT_ONCE:
                 continue
+            key = np.concatenate((rest_key, *[b.column(0).to_numpy() for b in waiting]))
+            fp = np.concatenate((rest_fp, *[b.column(1).to_numpy() for b in waiting]))
+            held, waiting = 0, []
             last = int(np.searchsorted(key, key[-1], side="left"))
             if last:
                 yield settle(key[:last], fp[:last])
             rest_key, rest_fp = key[last:], fp[last:]
+        rest_key = np.concatenate((rest_key, *[b.column(0).to_numpy() for b in waiting]))
+        rest_fp = np.concatenate((rest_fp, *[b.column(1).to_numpy() for b in waiting]))
         if len(rest_key):
             yield settle(rest_key, rest_fp)
 
@@ -282,18 +289,16 @@ def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float =
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = [hashes(t, width) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "key": batch["key"],
-                    "fp": np.array([fingerprint(v) for v in values], np.uint64).view(np.int64),
-                    "shingles": [np.unique((v >> np.uint64(32)).astype("<u4")).tobytes() for v in values],
-                }
-            )
+            fps, sets = [], []
+            for text in batch["text"]:
+                values = hashes(text, width)
+                fps.append(fingerprint(values))
+                sets.append(np.unique((values >> np.uint64(32)).astype("<u4")).tobytes())
+            fp = np.array(fps, np.uint64).view(np.int64)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "fp": fp, "shingles": sets})
 
     ids = marked_docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL)).alias("doc_id"), F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
-    rows = staged(ids.mapInPandas(mark, "doc_id long, key long, fp long, shingles binary"))
+    rows = staged(ids.mapInPandas(tidy(mark), "doc_id long, key long, fp long, shingles binary"))
     texts = staged(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("fp").alias("fp")))
     faces = staged(texts.groupBy("fp").agg(F.min("key").alias("face"), F.count(F.lit(1)).alias("n")))
     same = texts.join(faces.where("n > 1"), "fp").where("key <> face").select(F.col("face").alias("a"), F.col("key").alias("b"))
