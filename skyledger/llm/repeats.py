@@ -31,12 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import staged, table
+from skyledger.llm.common import staged, table, tidy
 from skyledger.llm.suffixes import smallest_owner
 
 LENGTH = 50
-BATCH = 2 << 20  # bytes of text in a batch
-NAMES = 2_000_000  # names a place of step 2 gets, about
+BATCH = 1 << 20  # bytes of text in a batch
+NAMES = 1_000_000  # names a place of step 2 gets, about
 PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
 PART = 1 << 20  # bytes of different segments that are sorted at once
 
@@ -163,7 +163,7 @@ def batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
         if ids:
             yield row()
 
-    return docs.mapInPandas(pack, "batch long, n_bytes long, blob binary")
+    return docs.mapInPandas(tidy(pack), "batch long, n_bytes long, blob binary")
 
 
 # ---- step 2: which names occur twice ----------------------------------------------
@@ -196,7 +196,7 @@ def send_names(packed: DataFrame, length: int, places: int) -> DataFrame:
                     }
                 )
 
-    return packed.mapInPandas(send, "place long, batch long, names binary, twice binary")
+    return packed.mapInPandas(tidy(send), "place long, batch long, names binary, twice binary")
 
 
 def _answer_names(rows: pd.DataFrame) -> pd.DataFrame:
@@ -253,7 +253,7 @@ def open_documents(packed: DataFrame, answers: DataFrame, length: int, places: i
                 )
 
     shape = "batch long, settled array<struct<doc_id long, text_key long, n_bytes long, kept_sha256 string>>, windows long, opened binary"
-    return joined.mapInPandas(mark, shape)
+    return joined.mapInPandas(tidy(mark), shape)
 
 
 # ---- step 3: segments meet -----------------------------------------------------------
@@ -304,7 +304,7 @@ def send_segments(opened: DataFrame, length: int, places: int) -> DataFrame:
                     yield pd.DataFrame(rows, columns=columns)
 
     columns = ["place", "batch", "sizes", "owners", "body", "n_bytes"]
-    return opened.mapInPandas(send, "place long, batch long, sizes binary, owners binary, body binary, n_bytes long")
+    return opened.mapInPandas(tidy(send), "place long, batch long, sizes binary, owners binary, body binary, n_bytes long")
 
 
 def _parts(contents: list[bytes], length: int) -> tuple[list[int], list[list[int]]]:
@@ -439,7 +439,8 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     volume = packed.agg(F.sum("n_bytes")).first()[0] or 0
     places = max(1, -(-volume // (8 * NAMES)))
     sent = send_names(packed, length, places)
-    answers = sent.groupBy("place").applyInPandas(_answer_names, "batch long, place long, bits binary")
+    # Tasks by number of places: their work is not told by the compressed bytes.
+    answers = sent.repartition(min(places, 4000), "place").groupBy("place").applyInPandas(tidy(_answer_names), "batch long, place long, bits binary")
     marked = staged(open_documents(packed, answers, length, places))
     settled = marked.select(F.explode("settled").alias("x")).select("x.*")
     opened = marked.where("opened is not null").select("batch", "windows", "opened")
@@ -447,9 +448,9 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # A segment has about half as many windows as a name's window has k-grams, and length - 1 bytes more.
     swell = 1 + 2 * (length - 1) / max(1, length - SECOND_GRAM + 2)
     spots = max(1, int(windows * swell) // PLACE + 1)
-    met = send_segments(opened, length, spots).groupBy("place").applyInPandas(_answer_segments(length), "batch long, place long, answer binary")
+    met = send_segments(opened, length, spots).repartition(min(spots, 4000), "place").groupBy("place").applyInPandas(tidy(_answer_segments(length)), "batch long, place long, answer binary")
     per_batch = met.groupBy("batch").agg(F.collect_list(F.struct("place", "answer")).alias("answers"))
-    cut = opened.join(per_batch, "batch", "left").mapInPandas(_finish(length, spots), RESULT)
+    cut = opened.join(per_batch, "batch", "left").mapInPandas(tidy(_finish(length, spots)), RESULT)
     none = F.array().cast("array<int>")
     zero = F.lit(0).cast("long")
     whole = settled.select("doc_id", "text_key", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), none.alias("starts"), none.alias("ends"), "kept_sha256")
