@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import langid, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, vectors
+from skyledger.llm import langid, mixing, neighbours, packing, repeats, scoring, sharding, simhash, sql, tokens, vectors
 
 QUERIES = {
     "op1_suffix_dedup": repeats.op1_suffix_dedup,
@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_suffix_dedup": sql.REPEATS, "op7_embedding_dedup": sql.VECTORS}

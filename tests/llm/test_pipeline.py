@@ -1,5 +1,6 @@
 """Every stage against brute force on its own input, and the registered queries."""
 
+import compare
 import corpus
 import numpy as np
 import pytest
@@ -96,6 +97,12 @@ def test_registered():
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_same_rows_as_sql(spark, name):
+    df = queries.queries()[name](spark, corpus.SF)
+    assert compare.differences(df, compare.connection(corpus.SF), queries.oracle_sql()[name]) == ""
+
+
 def test_run_packs_everything_kept(spark):
     rows = corpus_pipeline.run(spark, corpus.SF).collect()
     totals = {}
