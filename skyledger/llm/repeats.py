@@ -216,41 +216,38 @@ def open_documents(packed: DataFrame, answers: DataFrame, length: int, places: i
     per_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("place", "bits")).alias("answers"))
     joined = packed.join(per_batch, "batch", "left")
 
+    def one(number: int, blob: bytes, found) -> pd.DataFrame:  # what a batch needs is freed with this call
+        ids, keys, texts = thaw(blob)
+        batch = Batch(ids, texts)
+        distinct, _, inverse, first, end = _sorted_names(batch, length)
+        shared = np.zeros(len(distinct), bool)
+        if len(distinct):
+            place = _place(distinct, places)
+            for row in found if found is not None else []:
+                low, high = np.searchsorted(place, [row["place"], row["place"] + 1])
+                shared[low:high] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=high - low)
+        flagged = shared[inverse]
+        first, end = first[flagged], end[flagged]
+        owner = np.searchsorted(batch.starts, first, side="right") - 1
+        # Empty texts share their start with the next document, which is the last there.
+        first, end = first - batch.starts[owner], end - batch.starts[owner]
+        # Joined runs of windows, document by document.
+        fresh = np.append(True, (owner[1:] != owner[:-1]) | (first[1:] != end[:-1])) if len(first) else np.zeros(0, bool)
+        heads = np.flatnonzero(fresh)
+        tails = np.append(heads[1:], len(first)) - 1
+        spans = np.stack((owner[heads], first[heads], end[tails])) if len(heads) else np.zeros((3, 0), np.int64)
+        opened = np.unique(spans[0])
+        shut = np.setdiff1d(np.arange(len(ids)), opened)
+        again = np.searchsorted(opened, spans[0])
+        settled = [(int(ids[i]), int(keys[i]), len(texts[i]), hashlib.sha256(texts[i]).hexdigest()) for i in shut]
+        packed_open = freeze((ids[opened], keys[opened], [texts[i] for i in opened], again, spans[1], spans[2])) if len(opened) else None
+        windows = int((spans[2] - spans[1]).sum())
+        return pd.DataFrame({"batch": [number], "settled": [settled], "windows": [windows], "opened": [packed_open]})
+
     def mark(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for number, blob, found in zip(part["batch"], part["blob"], part["answers"]):
-                ids, keys, texts = thaw(blob)
-                batch = Batch(ids, texts)
-                distinct, _, inverse, first, end = _sorted_names(batch, length)
-                shared = np.zeros(len(distinct), bool)
-                if len(distinct):
-                    place = _place(distinct, places)
-                    for row in found if found is not None else []:
-                        low, high = np.searchsorted(place, [row["place"], row["place"] + 1])
-                        shared[low:high] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=high - low)
-                flagged = shared[inverse]
-                first, end = first[flagged], end[flagged]
-                owner = np.searchsorted(batch.starts, first, side="right") - 1
-                # Empty texts share their start with the next document, which is the last there.
-                first, end = first - batch.starts[owner], end - batch.starts[owner]
-                # Joined runs of windows, document by document.
-                fresh = np.append(True, (owner[1:] != owner[:-1]) | (first[1:] != end[:-1])) if len(first) else np.zeros(0, bool)
-                heads = np.flatnonzero(fresh)
-                tails = np.append(heads[1:], len(first)) - 1
-                spans = np.stack((owner[heads], first[heads], end[tails])) if len(heads) else np.zeros((3, 0), np.int64)
-                opened = np.unique(spans[0])
-                shut = np.setdiff1d(np.arange(len(ids)), opened)
-                again = np.searchsorted(opened, spans[0])
-                settled = [(int(ids[i]), int(keys[i]), len(texts[i]), hashlib.sha256(texts[i]).hexdigest()) for i in shut]
-                packed_open = freeze((ids[opened], keys[opened], [texts[i] for i in opened], again, spans[1], spans[2])) if len(opened) else None
-                yield pd.DataFrame(
-                    {
-                        "batch": [number],
-                        "settled": [settled],
-                        "windows": [int((spans[2] - spans[1]).sum())],
-                        "opened": [packed_open],
-                    }
-                )
+                yield one(number, blob, found)
 
     shape = "batch long, settled array<struct<doc_id long, text_key long, n_bytes long, kept_sha256 string>>, windows long, opened binary"
     return joined.mapInPandas(tidy(mark), shape)
