@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,16 +27,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import staged, table
+from skyledger.llm.common import staged, table, tidy
 from skyledger.llm.repeats import batches, runs, squeeze, thaw, widen
 from skyledger.llm.simhash import LOWER
 
 ORDER = 5
 BATCH = 3 << 20
-PLACE = 64 << 20  # bytes of text whose keys one place gets
+PLACE = 16 << 20  # bytes of text whose keys one place gets
 FOLDS, HELD_OUT = 5, 1
 START, END = 0xFE, 0xFF  # two byte values that no UTF-8 text holds
-TABLE = 1 << 25
+TABLE = 1 << 24
+PIECE = 1 << 20  # places scored together
 
 
 NO_ID = -(1 << 63)  # stands for a null doc_id
@@ -88,6 +89,16 @@ def _pack_keys(keys: np.ndarray) -> bytes:
     return squeeze(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes())
 
 
+def _pack_lengths(bits: np.ndarray) -> bytes:
+    """Code lengths in single precision, the bytes of one weight together: the high ones repeat."""
+    return squeeze(bits.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _open_lengths(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(widen(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<f4").ravel().astype(float)
+
+
 def _open_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(widen(blob), "<u8"), dtype=np.uint64)
 
@@ -138,27 +149,31 @@ SENT = "kind int, place long, batch long, keys binary, counts binary"
 
 
 def send(packed: DataFrame, places: int, order: int) -> DataFrame:
+    def rows(kind: int, number: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        place = _place(keys, places)
+        starts, ends = runs(place, np.zeros(0, np.int64))
+        return pd.DataFrame(
+            {
+                "kind": kind,
+                "place": place[starts],
+                "batch": number,
+                "keys": [_pack_keys(keys[s:e]) for s, e in zip(starts, ends)],
+                "counts": [squeeze(counts[s:e].astype("<i8").tobytes()) for s, e in zip(starts, ends)],
+            }
+        )
+
+    def one(number: int, blob: bytes) -> list[pd.DataFrame]:  # what a batch needs is freed with this call
+        batch = Batch(blob, places, order)
+        _, word_keys, word_counts = batch.words(places)
+        both = ((GRAM, batch.grams, batch.gram_counts()), (WORD, word_keys, word_counts))
+        return [rows(kind, number, keys, counts) for kind, keys, counts in both if len(keys)]
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for number, blob in zip(part["batch"], part["blob"]):
-                batch = Batch(blob, places, order)
-                _, word_keys, word_counts = batch.words(places)
-                for kind, keys, counts in ((GRAM, batch.grams, batch.gram_counts()), (WORD, word_keys, word_counts)):
-                    place = _place(keys, places)
-                    if not len(keys):
-                        continue
-                    starts, ends = runs(place, np.zeros(0, np.int64))
-                    yield pd.DataFrame(
-                        {
-                            "kind": kind,
-                            "place": place[starts],
-                            "batch": number,
-                            "keys": [_pack_keys(keys[s:e]) for s, e in zip(starts, ends)],
-                            "counts": [squeeze(counts[s:e].astype("<i8").tobytes()) for s, e in zip(starts, ends)],
-                        }
-                    )
-
-    return packed.mapInPandas(run, SENT)
+                yield from one(number, blob)
+
+    return packed.mapInPandas(tidy(run), SENT)
 
 
 def _gather(rows: pd.DataFrame) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +191,7 @@ def gram_totals(sent: DataFrame) -> DataFrame:
         _, distinct, _, n = _gather(rows)
         return pd.DataFrame({"gram": distinct.view(np.int64), "n": n})
 
-    return sent.where(F.col("kind") == GRAM).groupBy("place").applyInPandas(total, "gram long, n long")
+    return sent.where(F.col("kind") == GRAM).groupBy("place").applyInPandas(tidy(total), "gram long, n long")
 
 
 def word_answers(sent: DataFrame) -> DataFrame:
@@ -191,7 +206,7 @@ def word_answers(sent: DataFrame) -> DataFrame:
         stats["tokens"], stats["different"] = int(n.sum()), int((n > 0).sum())
         return pd.concat([out, stats], ignore_index=True)
 
-    return sent.where(F.col("kind") == WORD).groupBy("place").applyInPandas(answer, "batch long, place long, values binary, tokens long, different long")
+    return sent.where(F.col("kind") == WORD).groupBy("place").applyInPandas(tidy(answer), "batch long, place long, values binary, tokens long, different long")
 
 
 # ---- the model ----------------------------------------------------------------------
@@ -228,7 +243,13 @@ def code_lengths(totals: DataFrame, order: int = ORDER) -> DataFrame:
             own.select("ctx", "n", "q", (F.col("pq") - F.col("q")).alias("e"), (2 * (F.col("pn") - F.col("ruled_out"))).alias("t"))
         )
 
-    table_ = totals
+    # A gram that was seen needs its own context only.
+    top = contexts[order].select(F.col("ctx").alias("c"), F.col("n").alias("all"))
+    seen_ = totals.where("n > 0").join(top, F.shiftright("gram", 8) == F.col("c"))
+    seen_ = seen_.select("gram", F.log10((2 * F.col("n") - 1) / (2 * F.col("all"))).alias("bits"))
+
+    # The few others, of held-out documents, go down the orders.
+    table_ = totals.where("n = 0")
     for j in range(order, -1, -1):
         ctx = _small(contexts[j].select(F.col("ctx").alias(f"c{j}"), F.col("n").alias(f"n{j}"), F.col("q").alias(f"q{j}"), *([F.col("e").alias(f"e{j}"), F.col("t").alias(f"t{j}")] if j else [])), j)
         key = _low(F.shiftright("gram", 8), j)
@@ -252,7 +273,7 @@ def code_lengths(totals: DataFrame, order: int = ORDER) -> DataFrame:
         chance, found = chance + F.col(f"s{j}"), F.col(f"h{j}")
     unseen = F.lit(256) - F.coalesce(F.col("q0"), F.lit(0))
     last = F.when(found, 0.0).otherwise(-F.log10(F.greatest(unseen, F.lit(1)).cast("double")))
-    return table_.select("gram", (chance + last).alias("bits"))
+    return seen_.unionByName(table_.select("gram", (chance + last).alias("bits")))
 
 
 def gram_answers(sent: DataFrame, lengths: DataFrame, places: int) -> DataFrame:
@@ -268,11 +289,11 @@ def gram_answers(sent: DataFrame, lengths: DataFrame, places: int) -> DataFrame:
         model = model.sort_values("gram")
         grams, bits = model["gram"].to_numpy(np.int64), model["bits"].to_numpy(float)
         values = [bits[np.searchsorted(grams, _open_keys(k).view(np.int64))] for k in rows["keys"]]
-        return pd.DataFrame({"batch": rows["batch"], "place": rows["place"], "values": [squeeze(v.astype("<f8").tobytes()) for v in values]})
+        return pd.DataFrame({"batch": rows["batch"], "place": rows["place"], "values": [_pack_lengths(v) for v in values]})
 
     left = sent.where(F.col("kind") == GRAM).select("place", "batch", "keys").groupBy("place")
     right = lengths.withColumn("place", place_of("gram")).groupBy("place")
-    return left.cogroup(right).applyInPandas(answer, "batch long, place long, values binary")
+    return left.cogroup(right).applyInPandas(tidy(answer), "batch long, place long, values binary")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -305,35 +326,38 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     counts = words.where("batch >= 0").groupBy("batch").agg(F.collect_list(F.struct("place", "values")).alias("words"))
     joined = packed.join(grams, "batch", "left").join(counts, "batch", "left")
 
-    def line_up(found, kind: str) -> np.ndarray:
+    def line_up(found, read: Callable) -> np.ndarray:
         rows = sorted(found if found is not None else [], key=lambda r: r["place"])
-        parts = [np.frombuffer(widen(r["values"]), kind) for r in rows]
-        return np.concatenate(parts) if parts else np.zeros(0, kind)
+        return np.concatenate([read(r["values"]) for r in rows]) if rows else np.zeros(0)
+
+    end_base, end_known = math.log10((ends + 0.5) / floor), int(ends > 0)
+
+    def one(blob: bytes, found, said) -> pd.DataFrame:  # what a batch needs is freed with this call
+        batch = Batch(blob, places, order)
+        bits = line_up(found, _open_lengths)[batch.at] if len(batch.grams) else np.zeros(0)
+        cost = np.zeros(len(batch.data))
+        for at in range(0, len(batch.gram_of), PIECE):
+            here = slice(at, at + PIECE)
+            cost[order:][here] = np.where(batch.last[here], bits[batch.gram_of[here]], 0.0)
+        scores = np.add.reduceat(cost, batch.starts)
+        names, *_ = batch.words(places)
+        n = line_up(said, lambda x: np.frombuffer(widen(x), "<i8"))
+        base = dict(zip(names, np.log10((n + 0.5) / floor).tolist()))
+        unknown = {w for w, c in zip(names, (n > 0).tolist()) if not c}
+        out = []
+        for i, text in enumerate(batch.texts):
+            own = text.split()
+            known = len(own) - sum(map(unknown.__contains__, own))
+            word_score = math.fsum(map(base.__getitem__, own)) + end_base
+            out.append((int(batch.ids[i]), not batch.training[i], len(own) + 1, known + end_known, total, word_score, float(scores[i])))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SCORES.split(", ")])
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end_base, end_known = math.log10((ends + 0.5) / floor), int(ends > 0)
         for part in parts:
             for blob, found, said in zip(part["blob"], part["grams"], part["words"]):
-                batch = Batch(blob, places, order)
-                bits = line_up(found, "<f8")
-                cost = np.zeros(len(batch.data))
-                cost[order:] = np.where(batch.last, bits[batch.at[batch.gram_of]], 0.0)
-                scores = np.add.reduceat(cost, batch.starts)
-                names, *_ = batch.words(places)
-                n = line_up(said, "<i8")
-                base = dict(zip(names, np.log10((n + 0.5) / floor).tolist()))
-                unknown = {w for w, c in zip(names, (n > 0).tolist()) if not c}
-                out = []
-                for i, text in enumerate(batch.texts):
-                    own = text.split()
-                    known = len(own) - sum(map(unknown.__contains__, own))
-                    doc_id = int(batch.ids[i])
-                    out.append(
-                        (doc_id, not batch.training[i], len(own) + 1, known + end_known, total, math.fsum(map(base.__getitem__, own)) + end_base, float(scores[i]))
-                    )
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in SCORES.split(", ")])
-
-    result = joined.mapInPandas(finish, SCORES)
+                yield one(blob, found, said)
+
+    result = joined.mapInPandas(tidy(finish), SCORES)
     return result.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
