@@ -80,12 +80,6 @@ def agreeing(bits: int = BITS, bands: int = BANDS) -> list[int]:
     return [sum(choice) for choice in combinations(groups, bands - bits)]
 
 
-def sampled(width: int = 16, count: int = 32) -> list[int]:
-    """Sets of ``width`` references each, for distances too large for ``agreeing``."""
-    rng = np.random.Generator(np.random.PCG64(64))
-    return [sum(1 << int(b) for b in rng.choice(64, width, replace=False)) for _ in range(count)]
-
-
 def dense_references(count: int = 24) -> list[int]:
     """References for discarding, from a fixed multiplicative sequence."""
     found, x = [], 0x9E3779B97F4A7C15
@@ -155,7 +149,7 @@ def linked(key: np.ndarray, fp: np.ndarray, dense: list[int], bits: int) -> tupl
     return away, label[away]
 
 
-def _meet(fps: DataFrame, bits: int, masks: list[int], compare_keys, mix_order: bool = False) -> DataFrame:
+def _meet(fps: DataFrame, bits: int, masks: list[int], compare_keys) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints (column fp) that ``compare_keys`` finds among the
     rows of each key; there is a key for every mask and what its references see."""
     dense = dense_references()
@@ -195,9 +189,7 @@ def _meet(fps: DataFrame, bits: int, masks: list[int], compare_keys, mix_order:
             yield settle(rest_key, rest_fp)
 
     met = fps.select("fp").distinct().mapInArrow(meet, "key long, fp long").repartition("key")
-    # One order of all fingerprints, so that a class has the same leader under most keys.
-    ordered = met.sortWithinPartitions("key", F.xxhash64("fp") if mix_order else F.col("fp"))
-    return ordered.mapInArrow(compare, "a long, b long")
+    return met.sortWithinPartitions("key", "fp").mapInArrow(compare, "a long, b long")
 
 
 def links(fps: DataFrame, bits: int = BITS, masks: list[int] | None = None) -> DataFrame:
@@ -238,35 +230,11 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 STAGE_SHINGLE = 5
 STAGE_SIMILARITY = 0.8
-STAGE_BITS = 14  # two texts of that similarity rarely differ in more
 FULL = np.iinfo(np.int64).max
-
-
-def _led(key: np.ndarray, fp: np.ndarray, dense: list[int], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (positions leader, follower): in every key, the first open row leads those of the
-    open rows within ``bits``, then the next one, until none is open. ``key`` is sorted."""
-    pivots = np.stack([_distance(fp, r) for r in dense])
-    open_, out = np.arange(len(key)), [(np.zeros(0, int), np.zeros(0, int))]
-    while len(open_):
-        head = np.append(True, key[open_[1:]] != key[open_[:-1]])
-        leader = open_[np.maximum.accumulate(np.where(head, np.arange(len(open_)), 0))]
-        rest = ~head
-        a, b = _survivors(fp, pivots, leader[rest], open_[rest], bits)
-        out.append((a, b))
-        taken = np.zeros(len(key), bool)
-        taken[b] = True
-        left = open_[rest & ~taken[open_]]
-        # Rows that are alone under their key have nobody to follow or lead.
-        if len(left):
-            same = key[left[1:]] == key[left[:-1]]
-            left = left[np.append(same, False) | np.append(False, same)]
-        open_ = left
-    return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
-
-
-def leaders(fps: DataFrame, bits: int, masks: list[int]) -> DataFrame:
-    """Candidate pairs (a, b) of distinct fingerprints: each to the first near one it meets."""
-    return _meet(fps, bits, masks, _led, mix_order=True)
+SLOT_BITS = 20  # of a shingle's hash: the table of counts has a fixed size
+MEETING = 4096  # texts of a shingle that meet in one task at a time
+STARS = 2  # rounds in which large meetings are thinned by a leader
+ROUNDING = 1e-6
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -275,52 +243,189 @@ def jaccard(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
-def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, bits: int = STAGE_BITS) -> DataFrame:
+def shingle_ranks(sets: DataFrame) -> np.ndarray:
+    """A rank for every slot of shingle hashes, rare ones first."""
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros(1 << SLOT_BITS, np.int64)
+        for part in parts:
+            values = np.frombuffer(b"".join(part["shingles"]), "<u4")
+            held += np.bincount(values >> np.uint32(32 - SLOT_BITS), minlength=len(held))
+        pieces = np.split(held, 64)
+        some = [k for k, x in enumerate(pieces) if x.any()]
+        yield pd.DataFrame({"piece": some, "counts": [pieces[k].astype("<i8").tobytes() for k in some]}, columns=["piece", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, "<i8") for x in rows["counts"])
+        return pd.DataFrame({"piece": rows["piece"][:1], "counts": [total.astype("<i8").tobytes()]})
+
+    shape = "piece int, counts binary"
+    counts = np.zeros((64, (1 << SLOT_BITS) // 64), np.int64)
+    for row in sets.select("shingles").mapInPandas(tidy(count), shape).groupBy("piece").applyInPandas(tidy(add), shape).collect():
+        counts[row["piece"]] = np.frombuffer(row["counts"], "<i8")
+    ranks = np.empty(1 << SLOT_BITS, np.uint32)
+    ranks[np.argsort(counts.reshape(-1), kind="stable")] = np.arange(len(ranks))
+    return ranks
+
+
+def first_shingles(sets: DataFrame, ranks: np.ndarray, similarity: float) -> DataFrame:
+    """``token``, ``key``, ``at`` (its place among the text's shingles by rank), ``n``: the
+    rarest shingles of every text, one of which any two texts of ``similarity`` share."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            tokens, sizes, taken = [], [], []
+            for blob in part["shingles"]:
+                values = np.frombuffer(blob, "<u4")
+                n = len(values)
+                order = (ranks[values >> np.uint32(32 - SLOT_BITS)].astype(np.uint64) << np.uint64(32)) | values
+                order.sort()
+                few = n - int(np.ceil(similarity * n - ROUNDING)) + 1
+                # Texts without shingles are alike: they share a token of their own.
+                own = (order[:few] & np.uint64(0xFFFFFFFF)).astype(np.int64) if n else np.array([-1])
+                tokens.append(own)
+                sizes.append(n)
+                taken.append(len(own))
+            if tokens:
+                at = np.concatenate([np.arange(k) for k in taken])
+                yield pd.DataFrame({"token": np.concatenate(tokens), "key": np.repeat(part["key"].to_numpy(), taken), "at": at, "n": np.repeat(sizes, taken)})
+
+    return sets.select("key", "shingles").mapInPandas(tidy(run), "token long, key long, at int, n int")
+
+
+def _meetings(met: DataFrame, chunk: int) -> DataFrame:
+    """Rows (place, side, key, label, n, at) of ``met``: the texts of a token in one place, or,
+    when there are more than ``chunk``, a place for every two of its chunks. Sides 0 and 1
+    meet each other, rows of side 2 meet among themselves."""
+    chunks = met.withColumn("chunks", F.ceil(F.col("rows") / chunk).cast("int"))
+    own = chunks.withColumn("own", F.pmod(F.xxhash64("key", F.lit(3)), F.col("chunks")).cast("int"))
+    spread = own.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+    place = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return spread.select(place.alias("place"), side.cast("long").alias("side"), "key", "label", F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"))
+
+
+def _candidates(similarity: float):
+    """Pairs (a, b) of a place that are not linked yet and of which the token can be the first
+    that both have: what follows it in both is enough for ``similarity``."""
+    share = similarity / (1 + similarity)
+
+    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        place, side, key, label, n, at = rows
+        left = n - at
+
+        def out(a, b):
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[a], key[b])), pa.array(np.maximum(key[a], key[b]))], names=["a", "b"])
+
+        def fit(a, b):
+            enough = np.minimum(left[a], left[b]) >= share * (n[a] + n[b]) - ROUNDING
+            return enough & (label[a] != label[b]) & ((side[a] == 2) | (side[a] != side[b]))
+
+        starts = np.append(0, np.flatnonzero(np.diff(place)) + 1)
+        sizes = np.diff(np.append(starts, len(place)))
+        small = np.repeat(sizes <= SMALL, sizes)
+        for shift in range(1, SMALL):
+            a = np.flatnonzero((place[:-shift] == place[shift:]) & small[:-shift])
+            if not len(a):
+                break
+            a = a[fit(a, a + shift)]
+            yield out(a, a + shift)
+        for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+            spot = np.arange(start, start + size)
+            for i in range(0, size, BLOCK):
+                for j in range(i, size, BLOCK):
+                    a, b = spot[i : i + BLOCK, None], spot[None, j : j + BLOCK]
+                    a, b = np.nonzero(fit(a, b) & (a < b))
+                    yield out(a + start + i, b + start + j)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, waiting, held = np.zeros((6, 0), np.int64), [], 0
+        for batch in batches:
+            waiting.append(np.stack([c.to_numpy() for c in batch.columns]))
+            held += len(batch)
+            if held < AT_ONCE:
+                continue
+            rows = np.concatenate((rest, *waiting), axis=1)
+            waiting, held = [], 0
+            last = int(np.searchsorted(rows[0], rows[0, -1], side="left"))
+            if last:
+                yield from pairs(rows[:, :last])
+            rest = rows[:, last:]
+        rows = np.concatenate((rest, *waiting), axis=1)
+        if rows.shape[1]:
+            yield from pairs(rows)
+
+    return run
+
+
+def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFrame:
+    """``node``, ``root``: the classes of the texts (key, shingles) that are linked to another.
+
+    Any two texts of ``similarity`` share one of their first shingles, in one order of all
+    shingles, and the first one they share leaves enough after it in both. So every pair of
+    that similarity is a candidate, and every candidate is verified on the whole sets. Pairs
+    within a class already found are not compared again: in places with many texts a leader's
+    verified links go first, and the rest are compared until only classes are left.
+    """
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype=float)
+
+    first, second = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
+
+    met = first_shingles(sets, shingle_ranks(sets), similarity)
+    of_token = Window.partitionBy("token")
+    met = staged(met.withColumn("rows", F.count(F.lit(1)).over(of_token)).where("rows > 1"))
+    found, labelled = None, met.withColumn("label", F.col("key"))
+    large = met.where(F.col("rows") > SMALL)
+    for seed in range(0 if large.isEmpty() else STARS):
+        row = F.struct(F.xxhash64("key", F.lit(seed)).alias("by"), "key", "label", "at", "n")
+        many = labelled.where(F.col("rows") > SMALL)
+        led = many.join(many.groupBy("token").agg(F.min(row).alias("lead")), "token")
+        led = led.where(F.col("label") != F.col("lead.label"))
+        enough = F.least(F.col("n") - F.col("at"), F.col("lead.n") - F.col("lead.at")) >= similarity / (1 + similarity) * (F.col("n") + F.col("lead.n")) - ROUNDING
+        pairs = led.where(enough).select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct()
+        links_ = verified(pairs)
+        found = staged(links_ if found is None else found.unionByName(links_))
+        roots = components(found)
+        labelled = staged(met.join(roots, met["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key")).drop("node", "root"))
+    if found is not None:
+        several = F.min("label").over(of_token) != F.max("label").over(of_token)
+        labelled = labelled.withColumn("several", several).where("several").drop("several")
+    meetings = _meetings(labelled, chunk).repartition("place").sortWithinPartitions("place")
+    pairs = staged(meetings.mapInArrow(_candidates(similarity), "a long, b long").distinct())
+    links_ = verified(pairs)
+    return components(links_ if found is None else found.unionByName(links_))
+
+
+def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, chunk: int = MEETING) -> DataFrame:
     """``docs`` with one document of every near-duplicate class, all columns kept.
 
-    Texts are linked when the Jaccard similarity of their shingles is at least
-    ``similarity``. Candidates differ in at most ``bits`` fingerprint bits and agree for one of
-    the sampled reference sets; every candidate is verified on the whole texts. Of a class the
-    smallest doc_id stays (a null one only where there is no other), of repeated rows one.
-    Null, empty and blank texts are one class. An empty table gives no rows.
+    Texts are linked when the Jaccard similarity of their distinct shingles is at least
+    ``similarity``; no such pair is missed. Of a class the smallest doc_id stays (a null one
+    only where there is no other), of repeated rows one. Null, empty and blank texts are one
+    class. An empty table gives no rows.
     """
     # Row keys by name: equal texts have one text_key, whatever else their rows hold.
     marked_docs = docs.withColumn("_llm_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps, sets = [], []
-            for text in batch["text"]:
-                values = hashes(text, width)
-                fps.append(fingerprint(values))
-                sets.append(np.unique((values >> np.uint64(32)).astype("<u4")).tobytes())
-            fp = np.array(fps, np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "fp": fp, "shingles": sets})
-
-    ids = marked_docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL)).alias("doc_id"), F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
-    rows = staged(ids.mapInPandas(tidy(mark), "doc_id long, key long, fp long, shingles binary"))
-    texts = staged(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("fp").alias("fp")))
-    faces = staged(texts.groupBy("fp").agg(F.min("key").alias("face"), F.count(F.lit(1)).alias("n")))
-    same = texts.join(faces.where("n > 1"), "fp").where("key <> face").select(F.col("face").alias("a"), F.col("key").alias("b"))
-    near = leaders(faces, bits, sampled()).distinct()
-    left, right = faces.select(F.col("fp").alias("a"), F.col("face").alias("fa")), faces.select(F.col("fp").alias("b"), F.col("face").alias("fb"))
-    near = near.join(left, "a").join(right, "b").select(F.col("fa").alias("a"), F.col("fb").alias("b"))
-    pairs = staged(same.unionByName(near))
-    # Only texts in a pair bring their shingles, one row per text.
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = staged(rows.join(ends, "key", "left_semi").dropDuplicates(["key"]).select("key", "shingles"))
+            sets = [np.unique((hashes(t, width) >> np.uint64(32)).astype("<u4")).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"key": batch["key"], "shingles": sets})
 
-    @F.pandas_udf("double")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype=float)
-
-    first, second = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    linked_ = pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
-    roots = components(linked_)
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
+    ids = marked_docs.select(F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
+    sets = staged(ids.mapInPandas(tidy(mark), "key long, shingles binary").dropDuplicates(["key"]))
+    texts = staged(marked_docs.select(F.col("_llm_key").alias("key"), own.alias("doc_id")).groupBy("key").agg(F.min("doc_id").alias("first")))
+    roots = similar(sets, similarity, chunk)
     named = texts.join(roots, texts["key"] == roots["node"], "left").withColumn("root", F.coalesce("root", "key"))
     best = named.groupBy("root").agg(F.min(F.struct("first", "key")).alias("stay"))
     stay = best.select(F.col("stay.first").alias("_llm_first"), F.col("stay.key").alias("_llm_stay"))
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
     kept = marked_docs.join(stay, (F.col("_llm_key") == F.col("_llm_stay")) & (own == F.col("_llm_first")))
     place = F.row_number().over(Window.partitionBy("_llm_stay", "_llm_first").orderBy("_llm_first"))
     return kept.withColumn("_llm_place", place).where("_llm_place = 1").select(*[kept[c] for c in docs.columns])

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from skyledger.llm import mixing, queries
+from skyledger.llm import mixing, queries, simhash
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +110,41 @@ def test_run_packs_everything_kept(spark):
         totals[r["sequence_id"]] = totals.get(r["sequence_id"], 0) + r["length"]
     assert rows and max(totals.values()) <= 2048
     assert len(totals) <= -(-sum(totals.values()) // 2048) * 1.05 + 2
+
+
+def _kept(spark, texts, **how):
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], corpus.DOCS).repartition(3)
+    return {r["doc_id"] for r in simhash.one_of_each(rows, **how).collect()}
+
+
+@pytest.mark.parametrize("chunk", [4096, 500])
+def test_pairs_inside_a_family_of_templates(spark, chunk):
+    """Documents that share most of a template, at a similarity of about 0.73, and near copies of some."""
+    template, texts = [f"t{k}" for k in range(170)], []
+    for i in range(2000):
+        texts.append(" ".join([*template, *[f"own{i}x{k}" for k in range(30)]]))
+    for i in range(0, 2000, 20):
+        words = texts[i].split()
+        words[1] = f"other{i}"
+        texts.append(" ".join(words))
+    sets = [set(corpus.shingles(t, 5)) for t in texts]
+    assert 0.6 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.75
+    assert len(sets[0] & sets[2000]) / len(sets[0] | sets[2000]) > 0.9
+    assert _kept(spark, texts, chunk=chunk) == set(range(2000))
+
+
+def test_pairs_at_the_boundary(spark):
+    """One word of 49 changed leaves 40 of 50 shingles, a similarity of just 0.8; one of 48 leaves less."""
+    texts, gone = [], set()
+    for i in range(400):
+        words = [f"w{i}x{k}" for k in range(49 if i % 2 == 0 else 48)]
+        again = [*words[:24], "changed", *words[25:]]
+        if i % 4 == 0:  # the same distinct shingles, some of them very often
+            again += words[:24] * 9 if i % 8 else []
+        texts += [" ".join(words), " ".join(again)]
+    sets = [set(corpus.shingles(t, 5)) for t in texts]
+    for i in range(0, len(texts), 2):
+        if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]):
+            gone.add(i + 1)
+    assert 100 <= len(gone) < 400
+    assert _kept(spark, texts) == set(range(len(texts))) - gone
