@@ -288,7 +288,7 @@ def send_segments(opened: DataFrame, length: int, places: int) -> DataFrame:
                 *_, contents, smallest, at = segments(bytes(blob), length, places)
                 order = np.argsort(at, kind="stable")
                 starts, ends = runs(at[order], np.zeros(0, np.int64))
-                sizes = np.array([len(c) for c in contents], "<u2")
+                sizes = np.array([len(c) for c in contents], "<u4")
                 rows = []
                 for s, e in zip(starts.tolist(), ends.tolist()):
                     own = order[s:e]
@@ -332,7 +332,7 @@ def _answer_segments(length: int):
         number: dict[bytes, int] = {}
         which, owners = [], []
         for sizes, own, body in zip(rows["sizes"], rows["owners"], rows["body"]):
-            cuts = np.cumsum(np.frombuffer(widen(sizes), "<u2").astype(np.int64)).tolist()
+            cuts = np.cumsum(np.frombuffer(widen(sizes), "<u4").astype(np.int64)).tolist()
             data, at, here = widen(body), 0, []
             for cut in cuts:
                 here.append(number.setdefault(data[at:cut], len(number)))
@@ -345,7 +345,7 @@ def _answer_segments(length: int):
         answers: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(contents)
         alone, parts = _parts(contents, length)
         for i in alone:
-            answers[i] = (np.array([len(contents[i]) - length + 1], "<u2"), smallest[i : i + 1])
+            answers[i] = (np.array([len(contents[i]) - length + 1], "<u4"), smallest[i : i + 1])
         for part in parts:
             some = [contents[i] for i in part]
             found, starts = smallest_owner(some, smallest[part], length)
@@ -356,12 +356,12 @@ def _answer_segments(length: int):
             first, end = runs(values, heads)
             groups = np.searchsorted(first, heads)
             for i, a, b in zip(part, groups.tolist(), np.append(groups[1:], len(first)).tolist()):
-                answers[i] = ((end[a:b] - first[a:b]).astype("<u2"), values[first[a:b]])
+                answers[i] = ((end[a:b] - first[a:b]).astype("<u4"), values[first[a:b]])
         out = []
         for own in which:
             picked = [answers[i] for i in own.tolist()]
             out.append(
-                freeze((np.array([len(p[0]) for p in picked], "<u2"), np.concatenate([p[0] for p in picked]), np.concatenate([p[1] for p in picked])))
+                freeze((np.array([len(p[0]) for p in picked], "<u4"), np.concatenate([p[0] for p in picked]), np.concatenate([p[1] for p in picked])))
             )
         return pd.DataFrame({"batch": rows["batch"], "place": rows["place"], "answer": out})
 

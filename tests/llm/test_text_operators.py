@@ -74,6 +74,15 @@ def test_large_meeting_places_are_split(monkeypatch, spark, data):
     assert len(parts) > 5 and sorted([*alone, *(i for p in parts for i in p)]) == list(range(len(contents)))
 
 
+def test_repeats_of_a_long_period(spark):
+    """A run of windows with one name as long as the text, in two documents."""
+    line = "-- one line of a period, again and again\n"[:35]
+    long = (line * 3000)[:100_000]
+    rows = spark.createDataFrame([(1, "first " + long), (2, "other: " + long), (3, "alone")], "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in repeats.repeated(rows).collect()}
+    assert found == {1: (0, 0), 2: (100_001, 1), 3: (0, 0)}
+
+
 @pytest.mark.parametrize("shards", [7, 40])
 def test_sharding(docs, data, shards):
     found = sharding.shard(docs, shards).collect()
