@@ -151,6 +151,34 @@ def _compare(similarity: float, radius: float, blocks: int, size: int):
     return run
 
 
+def meetings(placed: DataFrame, chunk: int) -> DataFrame:
+    """Rows of ``placed`` for every meeting (``meet``) of their cell: two chunks of homes, or a
+    chunk of homes and one of guests, so no meeting grows with the cell.
+
+    Homes are left in the meeting of their chunk with each other chunk from it on, and right in
+    those from it back. Guests are right: those of chunk 0 in all meetings on the diagonal, the
+    others in a meeting (homes' chunk, -chunk) with each chunk of homes. Left is side 0.
+    """
+    keys = ["label", "block", "cell"]
+    parts = [F.greatest(F.lit(1), F.ceil(F.count_if(of) / chunk)).cast("int").alias(name) for of, name in ((F.col("home"), "chunks"), (~F.col("home"), "visits"))]
+    # One chunk of each for most, more where a cell is full.
+    full = placed.groupBy(*keys).agg(*parts).where("chunks > 1 or visits > 1")
+    marked = placed.join(full, keys, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("visits", F.coalesce("visits", F.lit(1)))
+    marked = marked.withColumn("own", F.pmod(F.xxhash64("vid", F.lit(3)), F.when(F.col("home"), F.col("chunks")).otherwise(F.col("visits"))).cast("int"))
+
+    def at(rows: DataFrame, meets: str, side: int) -> DataFrame:
+        return rows.withColumn("meet", F.explode(F.expr(meets))).withColumn("side", F.lit(side))
+
+    homes, guests = marked.where("home"), marked.where("not home")
+    lefts = at(homes, "transform(sequence(own, chunks - 1), x -> struct(own AS l, x AS r))", 0)
+    rights = at(homes.where("own > 0"), "transform(sequence(0, own - 1), x -> struct(x AS l, own AS r))", 1)
+    hosts = at(homes.where("visits > 1"), "transform(sequence(1, visits - 1), x -> struct(own AS l, -x AS r))", 0)
+    first = at(guests.where("own = 0"), "transform(sequence(0, chunks - 1), x -> struct(x AS l, x AS r))", 1)
+    others = at(guests.where("own > 0"), "transform(sequence(0, chunks - 1), x -> struct(x AS l, -own AS r))", 1)
+    all_ = lefts.unionByName(rights).unionByName(hosts).unionByName(first).unionByName(others)
+    return all_.withColumn("same", F.col("meet.l") == F.col("meet.r"))
+
+
 def near_vectors(
     rows: DataFrame,
     similarity: float = SIMILARITY,
@@ -166,8 +194,8 @@ def near_vectors(
     link with each other. A row without vec_id keeps its row; it gives a class no name. An
     empty table gives no rows; other columns are left out of the result.
 
-    Equal vectors of a label are one, with a weight, from the start. A cell with more vectors
-    than ``chunk`` is compared chunk against chunk in separate tasks.
+    Equal vectors of a label are one, with a weight, from the start. A cell with more homes or
+    guests than ``chunk`` is compared chunk against chunk in separate tasks.
     """
     spark = rows.sparkSession
     vector = F.col("embedding").cast("array<double>")
@@ -190,17 +218,7 @@ def near_vectors(
         place = _places(radius, blocks, cell, chunk)
         shape = "label string, block int, cell binary, home boolean, vid long, weight long, vector array<double>"
         placed = staged(distinct.where(F.size("vector") == size).select("label", "vid", "weight", "vector").mapInPandas(place, shape))
-        keys = ["label", "block", "cell"]
-        # Chunks of a cell: one for most, more where a cell is full.
-        full = placed.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks")).where("chunks > 1")
-        marked = placed.join(full, keys, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        marked = marked.withColumn("own", F.pmod(F.xxhash64("vid", F.lit(3)), F.col("chunks")).cast("int"))
-        # Homes are left in the meeting of their chunk with each other chunk from it on, and right
-        # in those from it back; guests are right in all meetings on the diagonal and left in none.
-        lefts = marked.where("home").withColumn("meet", F.explode(F.expr("transform(sequence(own, chunks - 1), x -> struct(own AS l, x AS r))"))).withColumn("side", F.lit(0))
-        rights = marked.where("home and own > 0").withColumn("meet", F.explode(F.expr("transform(sequence(0, own - 1), x -> struct(x AS l, own AS r))"))).withColumn("side", F.lit(1))
-        guests = marked.where("not home").withColumn("meet", F.explode(F.expr("transform(sequence(0, chunks - 1), x -> struct(x AS l, x AS r))"))).withColumn("side", F.lit(1))
-        all_ = lefts.unionByName(rights).unionByName(guests).withColumn("same", F.col("meet.l") == F.col("meet.r"))
+        all_ = meetings(placed, chunk)
         out = all_.groupBy("label", "block", "cell", "meet").applyInPandas(_compare(similarity, radius, blocks, size), "vid long, links long, mate long")
         found = out if found is None else found.unionByName(out)
     if found is None:
