@@ -458,7 +458,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(cut).unionByName(nameless)
 
 
-STAGE_LENGTH = 200  # bytes; a passage of fifty words is longer
+STAGE_LENGTH = 200  # bytes; passages of fifty short words can be shorter and stay
 
 
 def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
