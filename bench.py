@@ -21,30 +21,31 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 REPEATS = int(os.environ.get("BENCH_REPEATS", "1"))
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-def run(query, spark) -> float:
+
+def run(query, spark, folder: str) -> float:
     start = time.perf_counter()
-    query(spark, FOLDER).write.format("noop").mode("overwrite").save()
+    query(spark, folder).write.format("noop").mode("overwrite").save()
     spark.catalog.clearCache()
     return time.perf_counter() - start
 
 
+def measure(spark, known, folder: str, repeats: int) -> dict:
+    times = {}
+    for name in sorted(known):
+        run(known[name], spark, folder)
+        times[name] = round(statistics.median(run(known[name], spark, folder) for _ in range(repeats)), 3)
+    return {
+        "metric": "total time of all queries",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+    }
+
+
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(CPUS))
-    known = queries()
-    for name in sorted(known):
-        run(known[name], spark)
-        times[name] = round(statistics.median(run(known[name], spark) for _ in range(REPEATS)), 3)
-    print(
-        json.dumps(
-            {
-                "metric": "total time of all queries",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
-            }
-        )
-    )
+    print(json.dumps(measure(spark, queries(), FOLDER, REPEATS)))
     spark.stop()
 
 
