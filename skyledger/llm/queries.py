@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import langid, mixing, neighbours, packing, repeats, scoring, sharding, simhash, sql, tokens, vectors
+from skyledger.llm import audit, langid, merkle, mixing, neighbours, packing, repeats, scoring, sharding, simhash, sql, tokens, vectors, winnowing
 
 QUERIES = {
     "op1_suffix_dedup": repeats.op1_suffix_dedup,
@@ -19,6 +19,9 @@ QUERIES = {
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_decontaminate": winnowing.op12_decontaminate,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 
 
@@ -27,4 +30,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": sql.REPEATS, "op7_embedding_dedup": sql.VECTORS}
+    return {
+        "op1_suffix_dedup": sql.REPEATS,
+        "op7_embedding_dedup": sql.VECTORS,
+        "op11_merkle_manifest": sql.MANIFEST,
+        "op12_decontaminate": sql.WINNOWING,
+        "op13_filter_audit": sql.AUDIT,
+    }
