@@ -192,6 +192,9 @@ _SPACES = (
 )
 _TIDY = f"trim(regexp_replace(text, '{_SPACES}', ' ', 'g'), ' ')"
 _FINITE = "CASE WHEN isfinite({c}) THEN {c} END AS {c}"
+_WEATHER_FILES = f"""SELECT left(station, strpos(station, '-') - 1) AS station,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, t_air_c, {_FINITE.format(c='t_min_c')}, t_max_c,
+    wind_dir_deg, wind_ms, wind_gust_ms, precip_mm, humidity FROM weather"""
 
 
 def statements() -> dict[str, str]:
@@ -434,6 +437,15 @@ def statements() -> dict[str, str]:
         "sorted_table": "SELECT p_brand, count(*) AS rows FROM part GROUP BY 1",
         "bucketed_join": """SELECT m.ingredient, cast(sum(f.total_persons) as bigint) AS persons
             FROM fact f JOIN dim_med m ON f.medication_id = m.medication_id GROUP BY 1""",
+        # files
+        "quoted_breaks": f"""SELECT year, month, cast(month_date as varchar) AS month_date, ingredient,
+            {samples.TORN_PACKAGE} AS package, persons, prescriptions, packages_count,
+            total_amount, hk_amount, over_ref_price, copay_no_trh, copay_with_trh FROM meds""",
+        "files_daily": """SELECT staid, souid, cast(date as varchar) AS date, ss_raw,
+            CASE WHEN q_ss != 9 THEN q_ss END AS q_ss FROM sunshine""",
+        "files_weather": _WEATHER_FILES,
+        "files_none": "SELECT staid, count(*) AS rows FROM sunshine GROUP BY 1",
+        "second_sheet": _WEATHER_FILES,
         "incremental_table": """SELECT date_id, cast(avg_monthly_humidity as double)
             + CASE WHEN date_id >= '200001' THEN 100 ELSE 0 END AS avg_monthly_humidity
             FROM dim_wx""",

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.session import children, move, remove, shared_dir
 from skyledger.sources.grids import MEDICATION_HEADERS, WEATHER_HEADERS
 
 NBSP = "\u00a0"
@@ -236,3 +237,103 @@ def medication_grid(medications: DataFrame) -> DataFrame:
         cells.alias("cells"),
     )
     return _header_rows(files, [(0, top)]).unionByName(body)
+
+
+# ---- real files -----------------------------------------------------------------
+
+
+def _written(df: DataFrame, folder: str, name: str, by: str | None = None, **options) -> list[str]:
+    """Writes ``df`` under ``folder`` as files that carry ``name`` and a number.
+
+    Each task writes its own files, headers included. With ``by`` the files of each value of
+    that column carry the value instead. Returns the names.
+    """
+    spark = df.sparkSession
+    raw = shared_dir(spark)
+    writer = df.write.options(**options)
+    kind = "csv" if "header" in options else "text"
+    writer.partitionBy(by).format(kind).save(raw) if by else writer.format(kind).save(raw)
+    names = []
+    for group in [d for d in children(spark, raw) if d.startswith(f"{by}=")] if by else [""]:
+        at = f"{raw}/{group}" if group else raw
+        stem = group.split("=", 1)[1] if group else name
+        for number, part in enumerate(p for p in children(spark, at) if p.startswith("part-")):
+            names.append(f"{stem}{name if by else ''}{number}")
+            move(spark, f"{at}/{part}", f"{folder}/{names[-1]}.{'csv' if kind == 'csv' else 'txt'}")
+    remove(spark, raw)
+    return names
+
+
+_SHEET = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": "", "nullValue": ""}
+BREAK = "chr(10)"
+TORN_PACKAGE = f"package || ', \"new' || {BREAK} || {BREAK} || 'line\"'"
+
+
+def write_medications(medications: DataFrame, folder: str) -> None:
+    """Sheets whose package cells hold a comma, quotes and line breaks."""
+    rows = medications.withColumn("package", F.expr(TORN_PACKAGE))
+    cells = [F.translate(F.col(c).cast("string"), ".", ",").alias(h[0]) if c not in ("ingredient", "package") else F.col(c).alias(h[0]) for c, h in MEDICATION_HEADERS.items()]
+    _written(rows.select(*cells), folder, "sales", **_SHEET)
+
+
+def weather_sheet(weather: DataFrame, which: int = 1) -> list[Column]:
+    """The columns of a weather sheet under one of their header spellings."""
+    ts = {
+        "year": F.year("ts"),
+        "month": F.month("ts"),
+        "day": F.dayofmonth("ts"),
+        "time_utc": F.concat(F.hour("ts").cast("string"), F.lit(":00")),
+    }
+    names = dict(zip(WEATHER_HEADERS, _spelled(WEATHER_HEADERS, which)))
+    values = {**ts, **{c: F.col(c) for c in WEATHER_HEADERS if c in weather.columns}}
+    return [values[c].cast("string").alias(names[c]) for c in values]
+
+
+def write_weather(weather: DataFrame, folder: str) -> list[str]:
+    """Workbooks of one sheet, named by their station."""
+    return _written(weather.select("station", *weather_sheet(weather)), folder, "-", by="station", **_SHEET)
+
+
+def write_workbooks(weather: DataFrame, folder: str) -> None:
+    """Workbooks of which the first of every station has notes on its first sheet, its rows on
+    the second, and rows to be passed over, with a header as well, on the third."""
+    spark = weather.sparkSession
+    first = [n for n in write_weather(weather, folder) if n.endswith("-0")]
+    notes = weather.groupBy("station").agg(F.count("*").alias("hours"), F.lit("notes, no data").alias("remark"))
+    later = weather.groupBy("station").agg(F.min("ts").alias("ts"), *[F.lit(1).alias(c) for c in WEATHER_HEADERS if c in weather.columns])
+    side = shared_dir(spark)
+    small = notes.repartition(1, "station"), later.select("station", *weather_sheet(later)).repartition(1, "station")
+    for at, sheet in zip((0, 2), small):
+        _written(sheet, f"{side}/{at}", "-", by="station", **_SHEET)
+    for name in first:
+        move(spark, f"{folder}/{name}.csv", f"{folder}/{name}__1.csv")
+        for at in (0, 2):
+            move(spark, f"{side}/{at}/{name}.csv", f"{folder}/{name}__{at}.csv")
+    remove(spark, side)
+
+
+def write_daily(sunshine: DataFrame, folder: str) -> None:
+    """Daily text files, each with its preamble, bytes that are no text, and a lock file."""
+    spark = sunshine.sparkSession
+    # Every task's rows make one file; the preamble stands before the rows in it.
+    rows = sunshine.select(
+        F.concat_ws(
+            ",",
+            F.col("staid").cast("string"),
+            F.concat(F.unhex(F.lit("FF")).cast("string"), F.col("souid").cast("string")),
+            F.date_format("date", "yyyyMMdd"),
+            F.coalesce(F.col("ss_raw"), F.lit(-9999)).cast("string"),
+            F.when(F.col("q_ss") == 9, -9).otherwise(F.col("q_ss")).cast("string"),
+        ).alias("value"),
+        F.spark_partition_id().alias("task"),
+    )
+    top = F.array(*[F.lit(text) for text in [*_PREAMBLE, DAILY_TITLE]])
+    heads = rows.select("task").distinct().select("task", F.posexplode(top).alias("at", "value"))
+    lines = rows.withColumn("at", F.lit(len(_PREAMBLE) + 1)).unionByName(heads)
+    placed = lines.repartition(8, "task").sortWithinPartitions("task", "at").select("value")
+    _written(placed, folder, "SS_SOUID")
+    lock = sunshine.limit(1).select(F.lit("1,1,20200101,1,0").alias("value"))
+    _written(heads.select("value").unionByName(lock), f"{folder}/x", "SS_SOUID")
+    for name in children(spark, f"{folder}/x"):
+        move(spark, f"{folder}/x/{name}", f"{folder}/~${name}")
+    remove(spark, f"{folder}/x")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -762,6 +763,65 @@ def dim_date_model(w):
     )
 
 
+# ---- files ------------------------------------------------------------------
+
+
+@contextmanager
+def _small_splits(w: Warehouse):
+    """Files are read in splits of a megabyte, so that records are cut."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = w.spark.conf.get(name)
+    w.spark.conf.set(name, "1m")
+    try:
+        yield
+    finally:
+        w.spark.conf.set(name, before)
+
+
+@query
+def quoted_breaks(w):
+    """Sales sheets whose cells hold line breaks, some of them cut by the end of a split."""
+    folder = shared_dir(w.spark)
+    samples.write_medications(w.medications, folder)
+    with _small_splits(w):
+        return staged(grids.read_medications(w.spark, folder))
+
+
+@query
+def files_daily(w):
+    """Daily text files from disk: preambles, undecodable bytes, a lock file to be passed over."""
+    folder = shared_dir(w.spark)
+    samples.write_daily(w.sunshine, folder)
+    with _small_splits(w):
+        return staged(lines.read_daily(w.spark, folder))
+
+
+@query
+def files_weather(w):
+    """Hourly workbooks from disk, stations told by the file names."""
+    folder = shared_dir(w.spark)
+    samples.write_weather(w.weather, folder)
+    return grids.read_weather(w.spark, folder)
+
+
+@query
+def files_none(w):
+    """Daily rows per station of a folder, an empty folder and one that is not there."""
+    folder = shared_dir(w.spark)
+    samples.write_daily(w.sunshine, f"{folder}/full")
+    w.sunshine.filter("false").select(F.lit("").alias("value")).write.text(f"{folder}/empty")
+    rows = [lines.read_daily(w.spark, f"{folder}/{name}") for name in ("full", "empty", "missing")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("staid").agg(F.count("*").alias("rows"))
+
+
+@query
+def second_sheet(w):
+    """Workbooks whose header stands on their second sheet: the first fitting sheet counts."""
+    folder = shared_dir(w.spark)
+    samples.write_workbooks(w.weather, folder)
+    return grids.read_weather(w.spark, folder)
+
+
 def _weather_grid(w: Warehouse) -> DataFrame:
     orders = w.table("orders")
     rows = orders.selectExpr(*projection(WEATHER), "o_orderkey AS row")

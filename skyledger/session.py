@@ -69,3 +69,28 @@ def staged(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, wherever Spark can reach it."""
+    files, located = _file_system(spark, path)
+    files.delete(located, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none when it is not there."""
+    files, located = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(located)) if files.exists(located) else []
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    files, located = _file_system(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.exists(located) or not files.rename(located, target):
+        raise OSError(f"could not move {path} to {to}")
