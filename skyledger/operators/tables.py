@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from skyledger.session import shared_dir
+from skyledger.session import remove, shared_dir
 
 # Database of each layer.
 LAYERS = {"bronze": "bronze", "silver": "model_silver", "gold": "model_gold"}
@@ -195,7 +195,9 @@ def upsert(
 
     The source is parsed once, into the shared folder; the merged partitions are
     completed there too before the target is touched. If the final copy is cut
-    short, ``write_lake`` of the folder named in the error completes it.
+    short, ``write_lake`` of the folder named in the error completes it. The staged
+    folders go when the target is complete. ``versions.upsert`` is the same for catalog
+    tables, all at once.
     """
     spark = df.sparkSession
     staging = shared_dir(spark)
@@ -204,9 +206,11 @@ def upsert(
     target = lake_table(spark, path)
     if target is None:
         write_lake(source, path, partition)
+        remove(spark, staging)
         return "created"
     if target.isEmpty():
         write_lake(source, path, partition, mode="append")
+        remove(spark, staging)
         return "filled"
     touched = target
     if partition is not None:
@@ -219,6 +223,7 @@ def upsert(
         write_lake(spark.read.schema(merged.schema).parquet(f"{staging}/merged"), path, partition)
     except Exception as error:
         raise RuntimeError(f"target not completed; its new rows are in {staging}/merged") from error
+    remove(spark, staging)
     return "merged"
 
 

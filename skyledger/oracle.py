@@ -65,6 +65,21 @@ _CALENDAR = f"""SELECT strftime(d, '%Y%m') AS date_id, year, month, quarter, mon
     FROM (SELECT d, cast(year(d) as int) AS year, cast(month(d) as int) AS month,
         cast(quarter(d) as int) AS quarter, strftime(d, '%B') AS month_name FROM {{months}})"""
 
+
+def _dim_weather(days: str) -> str:
+    return f"""SELECT {_key(
+            "m", "avg_monthly_temp", "avg_monthly_precipitation", "avg_monthly_wind_speed",
+            "avg_monthly_humidity",
+        )} AS weather_id, strftime(m, '%Y%m') AS date_id,
+        avg_monthly_temp, avg_monthly_precipitation, avg_monthly_wind_speed, avg_monthly_humidity
+        FROM (SELECT cast(date_trunc('month', date) as date) AS m,
+        {_decimal('avg(cast(avg_temp_c as double))', 18, 2)} AS avg_monthly_temp,
+        cast(sum(total_precip_mm) as decimal(18,2)) AS avg_monthly_precipitation,
+        {_decimal('avg(cast(avg_wind_ms as double))', 18, 2)} AS avg_monthly_wind_speed,
+        {_decimal('avg(cast(avg_humidity as double))', 18, 2)} AS avg_monthly_humidity
+        FROM {days} GROUP BY 1)"""
+
+
 _CTES = {
     "meds": f"SELECT {_fields(MEDICATIONS)} FROM lineitem JOIN part ON l_partkey = p_partkey",
     "weather": f"SELECT {_fields(WEATHER)} FROM orders",
@@ -97,17 +112,10 @@ _CTES = {
             f"sum({c}) AS {c}" if c in _AMOUNTS else f"cast(sum({c}) as bigint) AS {c}"
             for c in _MEDICATION_SUMS
         )} FROM silver_meds GROUP BY 1, 2, 3, 4, 5, 6)""",
-    "dim_wx": f"""SELECT {_key(
-            "m", "avg_monthly_temp", "avg_monthly_precipitation", "avg_monthly_wind_speed",
-            "avg_monthly_humidity",
-        )} AS weather_id, strftime(m, '%Y%m') AS date_id,
-        avg_monthly_temp, avg_monthly_precipitation, avg_monthly_wind_speed, avg_monthly_humidity
-        FROM (SELECT cast(date_trunc('month', date) as date) AS m,
-        {_decimal('avg(cast(avg_temp_c as double))', 18, 2)} AS avg_monthly_temp,
-        cast(sum(total_precip_mm) as decimal(18,2)) AS avg_monthly_precipitation,
-        {_decimal('avg(cast(avg_wind_ms as double))', 18, 2)} AS avg_monthly_wind_speed,
-        {_decimal('avg(cast(avg_humidity as double))', 18, 2)} AS avg_monthly_humidity
-        FROM silver_wx GROUP BY 1)""",
+    "silver_wx_late": """SELECT * REPLACE (avg_temp_c + CASE WHEN date >= date '2000-01-01' THEN 1 ELSE 0 END
+        AS avg_temp_c) FROM silver_wx WHERE year(date) != 1997""",
+    "dim_wx": _dim_weather("silver_wx"),
+    "dim_wx_late": _dim_weather("silver_wx_late"),
     "dim_sun": f"""SELECT {_key('m', 'hours')} AS sunshine_id, strftime(m, '%Y%m') AS date_id,
         hours AS avg_station_monthly_hours FROM (
         SELECT m, {_decimal('avg(total)', 18, 2)} AS hours FROM (
@@ -192,6 +200,10 @@ _SPACES = (
 )
 _TIDY = f"trim(regexp_replace(text, '{_SPACES}', ' ', 'g'), ' ')"
 _FINITE = "CASE WHEN isfinite({c}) THEN {c} END AS {c}"
+_UPSERTED = """SELECT staid, souid, cast(date as varchar) AS date, ss_raw, q_ss,
+            cast(year(date) as int) AS year FROM sun_loads s WHERE copy = 1 AND NOT (load = 1 AND EXISTS (
+            SELECT 1 FROM sun_loads t WHERE t.load = 2 AND t.staid = s.staid AND t.souid = s.souid
+            AND t.date = s.date))"""
 _WEATHER_FILES = f"""SELECT left(station, strpos(station, '-') - 1) AS station,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, t_air_c, {_FINITE.format(c='t_min_c')}, t_max_c,
     wind_dir_deg, wind_ms, wind_gust_ms, precip_mm, humidity FROM weather"""
@@ -292,10 +304,7 @@ def statements() -> dict[str, str]:
             {_key('p_brand', 'p_name', 'p_size', sep='')} AS key_no_sep FROM part""",
         # table maintenance
         "upsert_latest": "SELECT * FROM orders_merged",
-        "upsert_table": """SELECT staid, souid, cast(date as varchar) AS date, ss_raw, q_ss,
-            cast(year(date) as int) AS year FROM sun_loads s WHERE copy = 1 AND NOT (load = 1 AND EXISTS (
-            SELECT 1 FROM sun_loads t WHERE t.load = 2 AND t.staid = s.staid AND t.souid = s.souid
-            AND t.date = s.date))""",
+        "upsert_table": _UPSERTED,
         "incremental_replace": f"""SELECT {_DIM_WEATHER} FROM (SELECT * REPLACE (
             avg_monthly_temp + CASE WHEN date_id >= '200001' THEN 100 ELSE 0 END AS avg_monthly_temp)
             FROM dim_wx )""",
@@ -437,6 +446,9 @@ def statements() -> dict[str, str]:
         "sorted_table": "SELECT p_brand, count(*) AS rows FROM part GROUP BY 1",
         "bucketed_join": """SELECT m.ingredient, cast(sum(f.total_persons) as bigint) AS persons
             FROM fact f JOIN dim_med m ON f.medication_id = m.medication_id GROUP BY 1""",
+        "upsert_published": _UPSERTED,
+        "incremental_months": """SELECT date_id, cast(avg_monthly_temp as double) AS avg_monthly_temp,
+            date_id >= '200001' AS rebuilt FROM dim_wx_late """,
         # files
         "quoted_breaks": f"""SELECT year, month, cast(month_date as varchar) AS month_date, ingredient,
             {samples.TORN_PACKAGE} AS package, persons, prescriptions, packages_count,

@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions import dates
 from skyledger.operators import governance, quality, tables
 from skyledger.operators.tables import table_name
-from skyledger.plans import gold, silver
+from skyledger.plans import gold, refresh, silver
 from skyledger.session import staged
 from skyledger.sources import grids, lines
 
@@ -113,12 +114,16 @@ def build_gold(spark: SparkSession, settings: Settings) -> None:
     }
     calendar = gold.dim_date(spark, settings.calendar_start, settings.calendar_months)
     tables.materialize(calendar, table_name("gold", "dim_date"), sort_by=["date_id"])
-    months = {
-        "dim_weather": gold.dim_weather(clean["weather_cleaned"], settings.first_month_year),
-        "dim_sunshine": gold.dim_sunshine(clean["sunshine_cleaned"], settings.first_month_year),
+    # Month models are computed again only for the months whose input changed.
+    first = settings.first_month_year
+    models = {
+        "dim_weather": (clean["weather_cleaned"], lambda days: gold.dim_weather(days, first)),
+        "dim_sunshine": (clean["sunshine_cleaned"], lambda days: gold.dim_sunshine(days, first)),
     }
-    for name, model in months.items():
-        months[name] = tables.materialize(model, table_name("gold", name), sort_by=["date_id"])
+    months = {}
+    for name, (days, model) in models.items():
+        refresh.refresh(days, dates.date_id("date"), model, table_name("gold", name), settings=str(first))
+        months[name] = spark.table(table_name("gold", name))
     bucketed = {"bucket_by": "medication_id", "buckets": settings.buckets}
     medications = tables.materialize(
         gold.dim_medications(clean["medications_cleaned"]),

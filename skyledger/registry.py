@@ -14,12 +14,12 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from skyledger.functions import dates, numbers, text
 from skyledger.functions.keys import surrogate_key
 from skyledger.functions.masks import mask_code, mask_label, range_label
-from skyledger.operators import aggregates, governance, joins, quality, tables
+from skyledger.operators import aggregates, governance, joins, quality, tables, versions
 from skyledger.operators.shape import conform, rename_headers
-from skyledger.plans import gold, reports, samples, silver
-from skyledger.plans.bindings import TODAY, WEATHER, Warehouse, projection
+from skyledger.plans import gold, refresh, reports, samples, silver
+from skyledger.plans.bindings import FIRST_YEAR, TODAY, WEATHER, Warehouse, projection
 from skyledger.schemas import SUNSHINE_SOURCES
-from skyledger.session import shared_dir, staged, tune
+from skyledger.session import remove, shared_dir, staged, tune
 from skyledger.sources import grids, lines
 
 Query = Callable[[Warehouse], DataFrame]
@@ -755,6 +755,53 @@ def incremental_table(w):
     return tables.lake_table(w.spark, path)
 
 
+@contextmanager
+def _scratch(w: Warehouse):
+    """A database of its own in the shared folder, gone with all tables at the end."""
+    folder = shared_dir(w.spark)
+    name = f"scratch_{uuid.uuid4().hex[:12]}"
+    w.spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    try:
+        yield name
+    finally:
+        w.spark.sql(f"DROP DATABASE {name} CASCADE")
+        remove(w.spark, folder)
+
+
+@query
+def upsert_published(w):
+    """Overlapping loads of daily sunshine into a table that shows each load all at once."""
+    keys = ["staid", "souid", "date"]
+    with _scratch(w) as database:
+        name = f"{database}.sunshine_daily"
+        for load in (
+            w.sunshine.filter("date < date '1999-01-01'"),
+            w.sunshine.filter("date >= date '1998-01-01'").withColumn("ss_raw", F.col("ss_raw") + 1),
+        ):
+            versions.upsert(tables.with_year(load, "date"), name, keys, partition="year")
+        return staged(w.spark.table(name).select(*keys, "ss_raw", "q_ss", "year"))
+
+
+@query
+def incremental_months(w):
+    """A model brought up to date: only months whose input changed are computed again, and
+    months without input leave it."""
+    days, month = w.weather_cleaned, dates.date_id("date")
+    raised = (F.col("avg_temp_c") + 1).cast("decimal(18,2)")
+    warmer = F.when(F.col("date") >= "2000-01-01", raised).otherwise(F.col("avg_temp_c"))
+    later = days.withColumn("avg_temp_c", warmer).filter(F.year("date") != 1997)
+    with _scratch(w) as database:
+        name = f"{database}.dim_weather"
+        stored = []
+        for input_ in (staged(days), later):
+            refresh.refresh(input_, month, lambda rows: gold.dim_weather(rows, FIRST_YEAR), name)
+            file = F.col("_metadata.file_path").alias("file")
+            stored.append(staged(w.spark.table(name).select("date_id", "avg_monthly_temp", file)))
+    before = stored[0].select("date_id", F.col("file").alias("old"))
+    joined = stored[1].join(before, "date_id", "left")
+    return joined.select("date_id", "avg_monthly_temp", (~F.col("file").eqNullSafe(F.col("old"))).alias("rebuilt"))
+
+
 @query
 def dim_date_model(w):
     """The calendar model as the build makes it."""
