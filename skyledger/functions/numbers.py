@@ -11,8 +11,12 @@ from skyledger.functions.text import as_column, normalized
 FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 WHOLE_TEXT = r"^[+-]?[0-9]+$"
 
-# Largest magnitude of a DECIMAL(18,2) amount.
-MONEY_LIMIT = 1e16
+# Below the first limit double amounts are summed as whole cents in a long, which holds some
+# ninety million of them; from the second on a double has no cents that a long could hold.
+LARGE_FROM, WHOLE_FROM = 1e9, 1e15
+
+# Exact amounts: six places as read, two places as money; sums have all digits there are.
+AMOUNT, MONEY = "decimal(38,6)", "decimal(38,2)"
 
 
 def is_finite(value: Column | str) -> Column:
@@ -78,7 +82,8 @@ def settle(value: Column | str, digits: int, half_even: bool = False) -> Column:
 
     Sums and averages of doubles carry noise in the last bits that depends on
     how rows were spread over tasks. Fixing eight decimals first removes it, so
-    a tie always rounds the same way.
+    a tie always rounds the same way. A double of 1e30 or more, which does not fit, has no
+    fraction: rounding leaves it as it is.
     """
     exact = as_column(value).try_cast("decimal(38,8)")
     rounder = F.bround if half_even else F.round
@@ -95,19 +100,39 @@ def settled_decimal(
     return rounder(exact, scale).try_cast(f"decimal({precision},{scale})")
 
 
-def cents(value: Column | str) -> Column:
-    """A double amount as whole cents.
+def exact_amount(value: Column | str) -> Column:
+    """Text with a decimal comma or point to a decimal, without a double in between.
+
+    Six places are kept, halves away from zero; text that is no number, or has more than 32
+    digits before the point, is null.
+    """
+    text = F.regexp_extract(F.translate(normalized(value), ", ", "."), FLOAT_TEXT, 0)
+    return F.nullif(text, F.lit("")).try_cast(AMOUNT)
+
+
+def cents(value: Column | str, below: float = WHOLE_FROM) -> Column:
+    """A double amount below the limit as whole cents, halves up.
 
-    Summing longs stays on the fast generated-code path, is exact in any order
-    and covers the range of a DECIMAL(18,2).
+    Summing longs stays on the fast generated-code path and is exact in any order.
     """
     amount = as_column(value).cast("double")
-    return F.when(
-        F.abs(amount) < MONEY_LIMIT, F.floor(amount * F.lit(100.0) + F.lit(0.5))
-    )
+    return F.when(F.abs(amount) < below, F.floor(amount * F.lit(100.0) + F.lit(0.5)))
+
+
+def large_amount(value: Column | str) -> Column:
+    """A double amount from ``LARGE_FROM`` on as a decimal of two places."""
+    amount = as_column(value).cast("double")
+    exact = F.coalesce(money(cents(amount)), amount.try_cast(MONEY))
+    return F.when(F.abs(amount) >= LARGE_FROM, exact)
 
 
 def money(total_cents: Column) -> Column:
-    """Whole cents back to DECIMAL(18,2)."""
+    """Whole cents as a decimal of two places."""
     hundredth = F.expr("0.01BD")
-    return (total_cents.cast("decimal(18,0)") * hundredth).cast("decimal(18,2)")
+    return (total_cents.cast("decimal(19,0)") * hundredth).cast(MONEY)
+
+
+def held(value: Column | str, exact: bool) -> Column:
+    """Whether an amount can be money at all: null when there is none."""
+    amount = as_column(value)
+    return F.when(amount.isNotNull(), (amount if exact else finite(amount.cast("double"))).try_cast(MONEY).isNotNull())

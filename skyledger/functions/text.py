@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -39,28 +40,70 @@ def stripped(value: Column | str) -> Column:
     return F.trim(as_column(value), F.lit(SPACE_CHARS))
 
 
-def _accent_rule() -> tuple[str, str]:
-    """Characters whose compatibility decomposition is one base character plus marks.
+def _decompositions() -> tuple[dict[str, str], str]:
+    """Every character that compatibility decomposition without marks changes, and the marks."""
+    changed, marks = {}, []
+    for code in range(0xA0, sys.maxunicode + 1):
+        char = chr(code)
+        if unicodedata.combining(char):
+            marks.append(char)
+        elif (parts := unicodedata.normalize("NFKD", char)) != char:
+            changed[char] = "".join(p for p in parts if not unicodedata.combining(p))
+    return changed, "".join(marks)
+
+
+def _char_class(chars: str) -> str:
+    """A regular expression for one of the characters, in runs of neighbouring codes."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+DECOMPOSED, _MARKS = _decompositions()
+_ONE = {c: d for c, d in DECOMPOSED.items() if len(d) == 1}
+_MANY = {c: d for c, d in DECOMPOSED.items() if len(d) != 1}
+# Few characters become more than three; Hangul syllables become two or three.
+_SHORT = {c: d for c, d in _MANY.items() if len(d) <= 3}
+_LONG = {c: d for c, d in _MANY.items() if len(d) > 3}
+_MANY_CLASS, _SHORT_CLASS = _char_class("".join(_MANY)), _char_class("".join(_SHORT))
+
+
+def base_letters(value: Column | str) -> Column:
+    """Characters that decompose to one base character as that character, without marks.
 
-    Covers Latin, Greek and Cyrillic. Stand-alone combining marks have no
-    counterpart in the second string, so ``translate`` deletes them.
+    What ``translate`` has no counterpart for, the marks, it deletes.
     """
-    accented, plain = [], []
-    for code in range(0xA0, 0x2000):
-        char = chr(code)
-        base = "".join(p for p in unicodedata.normalize("NFKD", char) if not unicodedata.combining(p))
-        if len(base) == 1 and base != char:
-            accented.append(char)
-            plain.append(base)
-    marks = [chr(code) for code in range(0x300, 0x370) if unicodedata.combining(chr(code))]
-    return "".join(accented + marks), "".join(plain)
+    return F.translate(as_column(value), "".join(_ONE) + _MARKS, "".join(_ONE.values()))
 
 
-_ACCENTED, _PLAIN = _accent_rule()
+def _expanded(char: Column, table: dict[str, str]) -> Column:
+    """A character of the table as its several characters: one look-up for each of them."""
+    parts = []
+    for at in range(max(map(len, table.values()))):
+        having = [c for c, d in table.items() if len(d) > at]
+        lacking = [c for c, d in table.items() if len(d) <= at]
+        parts.append(F.translate(char, "".join(having + lacking), "".join(table[c][at] for c in having)))
+    return F.concat(*parts)
 
 
 def accent_free(value: Column | str) -> Column:
-    return F.translate(as_column(value), _ACCENTED, _PLAIN)
+    """Compatibility decomposition without marks, for every character there is.
+
+    Most texts hold only characters that become one character. The others are taken apart;
+    of their characters only those that become several are looked up one by one.
+    """
+    text = as_column(value)
+
+    def plain(char: Column) -> Column:
+        several = F.when(char.rlike(_SHORT_CLASS), _expanded(char, _SHORT)).otherwise(_expanded(char, _LONG))
+        return F.when(char.rlike(_MANY_CLASS), several).otherwise(char)
+
+    apart = F.array_join(F.transform(F.split(text, "", -1), plain), "")
+    return base_letters(F.when(text.rlike(_MANY_CLASS), apart).otherwise(text))
 
 
 def decodable(value: Column | str) -> Column:

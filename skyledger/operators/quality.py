@@ -7,9 +7,12 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from skyledger.functions.numbers import held
 from skyledger.operators.aggregates import duplicate_keys
 from skyledger.operators.joins import any_of, missing_parents
+from skyledger.schemas import MONEY_COLUMNS
 
 # Accepted ranges and codes of the raw tables.
 SALES_YEARS = (2000, 2100)
@@ -59,6 +62,17 @@ def medication_checks(
     return checks(bronze, {"invalid_rows": bad})
 
 
+def amount_checks(bronze: DataFrame, amounts: Iterable[str] = MONEY_COLUMNS) -> DataFrame:
+    """Per amount column the rows whose amount cannot be money: not finite, or too large."""
+    kinds = {f.name: isinstance(f.dataType, DecimalType) for f in bronze.schema.fields}
+    return checks(bronze, {f"overflow_{c}": ~held(c, kinds[c]) for c in amounts})
+
+
+def total_checks(model: DataFrame, totals: Iterable[str]) -> DataFrame:
+    """Per column of sums the rows whose sum outgrew its type."""
+    return checks(model, {f"overflow_{c}": F.col(c).isNull() for c in totals})
+
+
 def sunshine_checks(daily: DataFrame, today: dt.date | None = None) -> DataFrame:
     """Bad codes and future dates."""
     now = F.lit(today) if today else F.current_date()

@@ -6,6 +6,8 @@ samples and raw projections are shared with the Spark side, answers are not.
 
 from __future__ import annotations
 
+import unicodedata
+
 from skyledger.plans import samples
 from skyledger.plans.bindings import (
     EVENT_WEATHER,
@@ -200,6 +202,12 @@ _SPACES = (
 )
 _TIDY = f"trim(regexp_replace(text, '{_SPACES}', ' ', 'g'), ' ')"
 _FINITE = "CASE WHEN isfinite({c}) THEN {c} END AS {c}"
+# What each decomposing character becomes, worked out one by one.
+_SPLIT = "\x1f"
+_UNMARKED = _SPLIT.join(
+    "".join(p for p in unicodedata.normalize("NFKD", c) if not unicodedata.combining(p)).replace("'", "''")
+    for c in samples.ALL_DECOMPOSED
+)
 _UPSERTED = """SELECT staid, souid, cast(date as varchar) AS date, ss_raw, q_ss,
             cast(year(date) as int) AS year FROM sun_loads s WHERE copy = 1 AND NOT (load = 1 AND EXISTS (
             SELECT 1 FROM sun_loads t WHERE t.load = 2 AND t.staid = s.staid AND t.souid = s.souid
@@ -449,6 +457,18 @@ def statements() -> dict[str, str]:
         "upsert_published": _UPSERTED,
         "incremental_months": """SELECT date_id, cast(avg_monthly_temp as double) AS avg_monthly_temp,
             date_id >= '200001' AS rebuilt FROM dim_wx_late """,
+        "large_amounts": f"""SELECT year, month, trim(upper(ingredient), ' ') AS ingredient_name,
+            trim(package, ' ') AS package_name, cast(cast(sum(amount) as decimal(38,2)) as varchar) AS total_amount
+            FROM (SELECT {_fields(MEDICATIONS)}, {samples.LARGE_ANSWER} AS amount
+            FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE amount IS NOT NULL AND year BETWEEN 1995 AND 2001
+            GROUP BY 1, 2, 3, 4""",
+        "dq_amounts": """SELECT 'overflow_' || c AS "check", CASE WHEN c = 'hk_amount'
+            THEN (SELECT count(*) FROM meds WHERE persons = 7) ELSE 0 END AS violations
+            FROM (SELECT unnest(['total_amount', 'hk_amount', 'over_ref_price', 'copay_no_trh', 'copay_with_trh']) AS c)""",
+        "accent_free_all": f"""SELECT l_orderkey, l_linenumber, md5(l_returnflag || array_to_string(list_transform(
+            range(10), lambda k: coalesce(u[i + 1 + k], '')), '') || 'e') AS digest
+            FROM (SELECT *, cast({samples.DECOMPOSED_AT} as int) AS i FROM lineitem),
+            (SELECT string_split('{_UNMARKED}', '{_SPLIT}') AS u)""",
         # files
         "quoted_breaks": f"""SELECT year, month, cast(month_date as varchar) AS month_date, ingredient,
             {samples.TORN_PACKAGE} AS package, persons, prescriptions, packages_count,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.text import DECOMPOSED
 from skyledger.session import children, move, remove, shared_dir
 from skyledger.sources.grids import MEDICATION_HEADERS, WEATHER_HEADERS
 
@@ -19,6 +20,10 @@ _ROMAN = "I.,II.,III.,IV.,V.,VI.,VII.,VIII.,IX.,X.,XI.,XII."
 _NAMED = "Jaanuar,VEEBR.,Märts,apr.,Mai,juuni,July,aug,Sept.,okt,November,DETS."
 MONTH = "month(l_shipdate)"
 
+# All characters that decompose, and where each line of an order starts among them.
+ALL_DECOMPOSED = "".join(DECOMPOSED)
+DECOMPOSED_AT = f"((l_orderkey * 7 + l_linenumber) * 10) % {len(DECOMPOSED)}"
+
 # One spelling per line number; the seventh is not a month.
 MONTH_TEXT = f"""case l_linenumber
     when 1 then cast({MONTH} as string)
@@ -45,6 +50,11 @@ NUMBER_TEXT = f"""case l_linenumber
     else {_WHOLE} || 'x' end"""
 NUMBER_ANSWER = f"case when l_linenumber <= 4 then {CENTS} end"
 
+# Amounts of 1e15 and more with their cents; the seventh of an order is too large to be money.
+_ZEROS = "repeat('0', cast(case l_linenumber when 1 then 0 when 2 then 12 when 3 then 16 when 7 then 40 else 20 end as int))"
+LARGE_TEXT = f"{_WHOLE} || {_ZEROS} || ',' || {_FRACTION}"
+LARGE_ANSWER = f"case when l_linenumber < 7 then cast({_WHOLE} || {_ZEROS} || '.' || {_FRACTION} as decimal(38,2)) end"
+
 COUNT_TEXT = """case when l_linenumber = 7 then '-' || cast(l_quantity as int)
     when l_linenumber = 6 then ''
     else cast(l_quantity as int) || ',5' end"""

@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from skyledger.functions.numbers import cents, is_finite, money, settle, settled_decimal
+from skyledger.functions.numbers import LARGE_FROM, MONEY, cents, is_finite, large_amount, money, settle, settled_decimal
 from skyledger.operators.tables import latest_per_key
 
 # First year of sales kept, and the codes of usable sunshine.
@@ -15,6 +16,7 @@ FIRST_SALES_YEAR = 2000
 USABLE_SUNSHINE = (0, 1)
 
 MEDICATION_KEYS = ["year", "month", "ingredient_name", "package_name"]
+AMOUNTS = ["total_amount", "hk_amount", "copay_with_trh", "copay_no_trh", "over_ref_price"]
 WEATHER_MEASURES = [
     "t_air_c", "t_min_c", "t_max_c", "precip_mm", "wind_ms", "wind_gust_ms", "humidity",
 ]
@@ -23,11 +25,31 @@ WEATHER_MEASURES = [
 def medications_cleaned(
     bronze: DataFrame, first_year: int = FIRST_SALES_YEAR, today: dt.date | None = None
 ) -> DataFrame:
-    """Sales per year, month, ingredient and package."""
+    """Sales per year, month, ingredient and package.
+
+    Amounts may be doubles or decimals. Each row's amount is rounded to cents, halves up, and
+    sums are exact: decimals as they are, doubles as whole cents while they are small. A total
+    that no DECIMAL(38,2) can hold is null, which ``quality.amount_checks`` counts.
+    """
     last_year = F.lit(today.year) if today else F.year(F.current_date())
     kept = bronze.filter(F.col("year").between(F.lit(first_year), last_year)).na.drop(
         subset=["total_amount", "prescriptions", "persons", "packages_count"]
     )
+    exact = {f.name: isinstance(f.dataType, DecimalType) for f in bronze.schema.fields}
+
+    def spelled(column: str) -> list[Column]:
+        if exact[column]:
+            return [F.round(column, 2).cast(MONEY).alias(column)]
+        return [cents(column, LARGE_FROM).alias(column), large_amount(column).alias(f"{column}_large")]
+
+    def amount(column: str) -> Column:
+        nothing = F.count(column) == 0
+        if exact[column]:
+            return F.when(nothing, F.lit(0).cast(MONEY)).otherwise(F.try_sum(column))
+        large = f"{column}_large"
+        small = money(F.coalesce(F.sum(column), F.lit(0)))
+        return F.when(F.count(large) == 0, small).otherwise(F.try_add(small, F.try_sum(large)).try_cast(MONEY))
+
     cleaned = kept.select(
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
@@ -36,17 +58,10 @@ def medications_cleaned(
         F.col("packages_count").cast("double").alias("packages_count"),
         "prescriptions",
         "persons",
-        *[
-            cents(c).alias(c)
-            for c in ("total_amount", "hk_amount", "copay_with_trh", "copay_no_trh", "over_ref_price")
-        ],
+        *[c for name in AMOUNTS for c in spelled(name)],
     )
-
-    def amount(column: str) -> Column:
-        return money(F.coalesce(F.sum(column), F.lit(0)))
-
     return cleaned.groupBy(*MEDICATION_KEYS).agg(
-        settle(F.sum("packages_count"), 0).cast("bigint").alias("total_packages"),
+        settle(F.sum("packages_count"), 0).try_cast("bigint").alias("total_packages"),
         amount("total_amount").alias("total_amount"),
         amount("hk_amount").alias("health_insurance_amount"),
         amount("copay_with_trh").alias("copay_with_threshold"),

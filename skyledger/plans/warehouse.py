@@ -26,6 +26,7 @@ BRONZE_SORT = {
     "sunshine_daily": ["souid", "date"],
     "sunshine_sources": ["staid", "souid"],
 }
+TOTALS = gold.MEDICATION_SUMS
 SUNSHINE_KEYS, STATION_KEYS = ["staid", "souid", "date"], ["staid", "souid"]
 
 
@@ -80,7 +81,7 @@ def load_bronze(df: DataFrame, name: str) -> bool:
 def ingest(spark: SparkSession, folder: str, lake: str) -> None:
     """All raw folders (``medications``, ``weather``, ``sunshine``) into raw tables."""
     tables.ensure_layers(spark)
-    load_bronze(grids.read_medications(spark, f"{folder}/medications"), "medications_monthly")
+    load_bronze(grids.read_medications(spark, f"{folder}/medications", exact=True), "medications_monthly")
     load_bronze(grids.read_weather(spark, f"{folder}/weather"), "weather_hourly")
     ingest_sunshine(spark, f"{folder}/sunshine", lake)
     publish_sunshine(spark, lake)
@@ -90,6 +91,7 @@ def check_bronze(spark: SparkSession, now: dt.datetime | None = None) -> None:
     """The gates after loading; raises when one finds bad rows."""
     raw = {n: spark.table(table_name("bronze", n)) for n in BRONZE_SORT}
     quality.enforce(quality.medication_checks(raw["medications_monthly"]))
+    quality.enforce(quality.amount_checks(raw["medications_monthly"]))
     quality.enforce(quality.weather_checks(raw["weather_hourly"], now))
     quality.enforce(quality.sunshine_checks(raw["sunshine_daily"], now.date() if now else None))
 
@@ -125,6 +127,7 @@ def build_gold(spark: SparkSession, settings: Settings) -> None:
         refresh.refresh(days, dates.date_id("date"), model, table_name("gold", name), settings=str(first))
         months[name] = spark.table(table_name("gold", name))
     bucketed = {"bucket_by": "medication_id", "buckets": settings.buckets}
+    quality.enforce(quality.total_checks(clean["medications_cleaned"], TOTALS))
     medications = tables.materialize(
         gold.dim_medications(clean["medications_cleaned"]),
         table_name("gold", "dim_medications"),

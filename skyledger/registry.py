@@ -17,7 +17,7 @@ from skyledger.functions.masks import mask_code, mask_label, range_label
 from skyledger.operators import aggregates, governance, joins, quality, tables, versions
 from skyledger.operators.shape import conform, rename_headers
 from skyledger.plans import gold, refresh, reports, samples, silver
-from skyledger.plans.bindings import FIRST_YEAR, TODAY, WEATHER, Warehouse, projection
+from skyledger.plans.bindings import FIRST_YEAR, MEDICATIONS, TODAY, WEATHER, Warehouse, projection
 from skyledger.schemas import SUNSHINE_SOURCES
 from skyledger.session import remove, shared_dir, staged, tune
 from skyledger.sources import grids, lines
@@ -422,6 +422,29 @@ def parse_number(w):
     return parsed.select("l_orderkey", "l_linenumber", numbers.cents("amount").alias("cents"))
 
 
+def _large_sales(w: Warehouse) -> DataFrame:
+    """Sales whose amounts are read from text of up to 26 digits."""
+    part, items = w.table("part"), w.table("lineitem")
+    joined = items.join(part, items["l_partkey"] == part["p_partkey"])
+    sales = joined.selectExpr(*projection(MEDICATIONS), f"{samples.LARGE_TEXT} AS raw")
+    return sales.withColumn("total_amount", numbers.exact_amount("raw"))
+
+
+@query
+def large_amounts(w):
+    """Exact sums of amounts of 1e16, 1e20 and more, with their cents."""
+    cleaned = silver.medications_cleaned(_large_sales(w), FIRST_YEAR, TODAY)
+    keys = ["year", "month", "ingredient_name", "package_name"]
+    return cleaned.select(*keys, F.col("total_amount").cast("string").alias("total_amount"))
+
+
+@query
+def dq_amounts(w):
+    """Amounts that cannot be money, per column."""
+    huge = w.medications.withColumn("hk_amount", F.when(F.col("persons") == 7, F.lit(1e40)).otherwise(F.col("hk_amount")))
+    return quality.amount_checks(huge)
+
+
 @query
 def parse_count(w):
     spelled = w.table("lineitem").selectExpr("l_orderkey", "l_linenumber", f"{samples.COUNT_TEXT} AS raw")
@@ -488,6 +511,14 @@ def accent_free_text(w):
     return w.table("documents").select("doc_id", F.md5(text.accent_free("text")).alias("digest"))
 
 
+@query
+def accent_free_all(w):
+    """Every character that decomposes, ten at a time, in the midst of other text."""
+    some = F.substring(F.lit(samples.ALL_DECOMPOSED), F.expr(samples.DECOMPOSED_AT).cast("int") + 1, F.lit(10))
+    raw = F.concat(F.col("l_returnflag"), some, F.lit("é"))
+    return w.table("lineitem").select("l_orderkey", "l_linenumber", F.md5(text.accent_free(raw)).alias("digest"))
+
+
 @query
 def blank_to_null(w):
     cell = F.when(F.col("turn") % 2 == 0, F.lit(samples.NBSP)).otherwise(F.col("text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -34,6 +35,12 @@ MEDICATIONS = _struct(
     copay_with_trh=DoubleType(),
 )
 
+# The same with amounts that no double has rounded.
+MONEY_COLUMNS = ("total_amount", "hk_amount", "over_ref_price", "copay_no_trh", "copay_with_trh")
+EXACT_MEDICATIONS = StructType(
+    [StructField(f.name, DecimalType(38, 6) if f.name in MONEY_COLUMNS else f.dataType) for f in MEDICATIONS.fields]
+)
+
 WEATHER = _struct(
     station=StringType(),
     ts=TimestampNTZType(),

@@ -1,6 +1,8 @@
 """Column functions on edge values."""
 
 import datetime as dt
+import sys
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +121,35 @@ def test_money(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (1.005,), (None,), (float("nan"),)], "v double")
     total = df.agg(numbers.money(F.sum(numbers.cents("v")))).first()[0]
     assert str(total) == "1.30"
+
+
+def test_accent_free_is_full_decomposition(spark):
+    """Every code point, in mixed texts of 64."""
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    raw = ["".join(map(chr, codes[i : i + 64])) for i in range(0, len(codes), 64)]
+    expected = ["".join(p for p in unicodedata.normalize("NFKD", s) if not unicodedata.combining(p)) for s in raw]
+    assert run(spark, text.accent_free, raw) == expected
+    some = ["", None, "plain", "Pärnu ﬁn ½ Ⅳ", "가나", "é", "ﷺ", "ＭＡＹ"]
+    assert run(spark, text.accent_free, some) == ["", None, "plain", "Parnu fin 1⁄2 IV", unicodedata.normalize("NFKD", "가나"), "e", unicodedata.normalize("NFKD", "ﷺ"), "MAY"]
+
+
+def test_full_width_months(spark):
+    assert run(spark, dates.month_number, ["ＭＡＹ", "１２"]) == [5, 12]
+
+
+def test_exact_amounts(spark):
+    raw = ["1 234,5", "90100000000000000,25", "1e3", "0,1234565", "-0,005", "nan", "inf", "", None, "1" + "0" * 32, "9" * 32 + ".99", "1.5e-7"]
+    got = [None if v is None else str(v) for v in run(spark, numbers.exact_amount, raw)]
+    assert got == [
+        "1234.500000", "90100000000000000.250000", "1000.000000", "0.123457", "-0.005000", None, None, None, None,
+        None, "9" * 32 + ".990000", "0.000000",
+    ]
+
+
+def test_large_double_amounts(spark):
+    values = [1.0, 1e9, 123456789012.345, 1e15, 1e16, 1.5e20, -1e20, 1e36, float("inf"), float("nan"), None]
+    assert [None if v is None else str(v) for v in run(spark, numbers.large_amount, values, "double")] == [
+        None, "1000000000.00", "123456789012.35", "1000000000000000.00", "10000000000000000.00", "150000000000000000000.00",
+        "-100000000000000000000.00", None, None, None, None,
+    ]
+    assert run(spark, lambda c: numbers.held(c, False), values, "double") == [True] * 7 + [False] * 3 + [None]

@@ -140,3 +140,33 @@ def test_key_hash_stays_above_the_aggregation(star):
     plan = executed(reports.season_by_type(star.fact, star.dim_date, star.dim_medications))
     scan_side = [line for line in plan.splitlines() if "Filter" in line and "l_shipdate" in line]
     assert scan_side and not any("md5" in line for line in scan_side)
+
+
+def test_amounts_are_exact_at_any_size(spark):
+    rows = [(2024, 1, "n", "1 a", 1, 1, 1.0, v) for v in (1e16, 1e16, 3.25, 1.5e20)]
+    bronze = spark.createDataFrame([(y, m, dt.date(y, m, 1), i, p, n, q, c, a, a, a, a, a) for y, m, i, p, n, q, c, a in rows], MEDICATIONS)
+    (row,) = silver.medications_cleaned(bronze, today=dt.date(2030, 1, 1)).collect()
+    assert str(row.total_amount) == "150020000000000000003.25"
+    decimals = bronze.withColumn("total_amount", F.expr("cast('99999999999999999999999999999999.995' as decimal(38,6))"))
+    totals = silver.medications_cleaned(decimals, today=dt.date(2030, 1, 1))
+    assert str(totals.first().total_amount) == "4" + "0" * 32 + ".00"
+    many = decimals.withColumn("total_amount", F.expr("cast('99999999999999999999999999999999' as decimal(38,6))")).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20000))))
+    overflown = silver.medications_cleaned(many.drop("n"), today=dt.date(2030, 1, 1))
+    assert {r["check"]: r["violations"] for r in quality.total_checks(overflown, ["total_amount", "copay_with_threshold"]).collect()} == {
+        "overflow_total_amount": 1, "overflow_copay_with_threshold": 0,
+    }
+
+
+def test_amounts_that_are_no_money_are_counted(spark):
+    bronze = meds(spark, (2024, 1, "n", "1 a", 1, 1.0, float("inf")), (2024, 1, "n", "1 a", 1, 1.0, 1e37), (2024, 1, "n", "1 a", 1, 1.0, 5.0))
+    found = {r["check"]: r["violations"] for r in quality.amount_checks(bronze).collect()}
+    assert set(found.values()) == {2} and len(found) == 5
+
+
+def test_exact_sheets(spark, tmp_path):
+    from skyledger.sources import grids
+
+    head = "Aasta,Kuu,Toimeaine,Pakend,Isikute arv,Retseptide arv,Pakendite arv,Retsepti kogusumma"
+    (tmp_path / "m.csv").write_text(f'{head}\n2024,1,a,b,1,1,1,"90 100 000 000 000 000,25"\n')
+    row = grids.read_medications(spark, str(tmp_path), exact=True).first()
+    assert str(row.total_amount) == "90100000000000000.250000" and row.hk_amount is None
