@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.masks import CODE_MASK_SQL, KEY_SQL, RANGE_SQL, RANGE_WIDTH
 
-# The masked projection of the medication dimension: (expression, published name).
-# Co-payment columns are left out.
+# The published columns of the masked medication dimension, as (expression,
+# name). Co-payment columns are left out.
 MASKED_MEDICATIONS = [
     ("medication_id", "medication_id"),
     ("year", "year"),
@@ -58,6 +60,14 @@ def masked_medications(dim: DataFrame) -> DataFrame:
     return governed(dim, "analyst_limited", "dim_medications")
 
 
+def role_views(role: str, frames: Mapping[str, DataFrame]) -> dict[str, str]:
+    """Temporary views ``<role>_<table>`` of what a role may see; returns their names by table."""
+    names = {table: f"{role}_{table}" for table in frames}
+    for table, df in frames.items():
+        governed(df, role, table).createOrReplaceTempView(names[table])
+    return names
+
+
 def view_queries(gold: str) -> dict[str, str]:
     """SQL of the published views over the gold database."""
     masked = ", ".join(f"{expression} AS {name}" for expression, name in MASKED_MEDICATIONS)

@@ -103,20 +103,44 @@ def sorted_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = N
     return ordered.sortWithinPartitions(*keys)
 
 
+def key_order(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``(files, rows, inversions, overlaps)`` on how a stored table lies on disk.
+
+    ``inversions`` are rows whose key is less than that of the row before them in their file,
+    ``overlaps`` files that start before the file ahead of them in key order ends.
+    """
+    key, meta = F.struct(*keys), F.col("_metadata")
+    rows = table.select(key.alias("key"), meta["file_path"].alias("file"), meta["row_index"].alias("place"))
+    ahead = F.lag("key").over(W.partitionBy("file").orderBy("place"))
+    per_file = rows.withColumn("less", F.coalesce(F.col("key") < ahead, F.lit(False))).groupBy("file").agg(
+        F.count("*").alias("rows"), F.count_if("less").alias("less"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # One row per file.
+    before = F.lag("high").over(W.orderBy("low", "high"))
+    marked = per_file.withColumn("over", F.coalesce(F.col("low") < before, F.lit(False)))
+    return marked.agg(
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("less"), F.lit(0)).alias("inversions"),
+        F.count_if("over").alias("overlaps"),
+    )
+
+
 def materialize(
     df: DataFrame,
     name: str,
     bucket_by: str | None = None,
     buckets: int = 8,
     sort_by: Sequence[str] = (),
+    files: int | None = None,
 ) -> DataFrame:
     """Write a model as a table and read it back.
 
-    Bucketed models are hashed like the buckets first, so each bucket is one file
+    A sorted model has as many ranges as Spark finds good, or ``files``. Bucketed models are hashed like the buckets first, so each bucket is one file
     and later joins on that key need no shuffle.
     """
     if bucket_by is None:
-        (sorted_layout(df, sort_by) if sort_by else df).write.mode("overwrite").saveAsTable(name)
+        (sorted_layout(df, sort_by, files) if sort_by else df).write.mode("overwrite").saveAsTable(name)
     else:
         writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by)
         if sort_by:

@@ -31,10 +31,13 @@ def _decimal(expression: str, precision: int, scale: int) -> str:
     return f"cast(round(cast({expression} as decimal(38,8)), {scale}) as decimal({precision},{scale}))"
 
 
-def _key(*parts: str, sep: str = "|") -> str:
+def _spelled(*parts: str, sep: str = "|") -> str:
     glue = f" || '{sep}' || " if sep else " || "
-    text = glue.join(f"cast({p} as varchar)" for p in parts)
-    return f"cast('0x' || substr(md5({text}), 1, 15) as bigint)"
+    return glue.join(f"cast({p} as varchar)" for p in parts)
+
+
+def _key(*parts: str, sep: str = "|") -> str:
+    return f"cast('0x' || substr(md5({_spelled(*parts, sep=sep)}), 1, 15) as bigint)"
 
 
 def _cents(column: str) -> str:
@@ -208,6 +211,10 @@ _UNMARKED = _SPLIT.join(
     "".join(p for p in unicodedata.normalize("NFKD", c) if not unicodedata.combining(p)).replace("'", "''")
     for c in samples.ALL_DECOMPOSED
 )
+_MASKED = f"""SELECT medication_id, year, month, ingredient, atc_code, package_code_masked,
+            package_label_masked, total_packages,
+            {_doubles(['total_amount', 'health_insurance_amount', 'amount_over_reference_price'])},
+            total_prescriptions_range, total_persons FROM masked"""
 _UPSERTED = """SELECT staid, souid, cast(date as varchar) AS date, ss_raw, q_ss,
             cast(year(date) as int) AS year FROM sun_loads s WHERE copy = 1 AND NOT (load = 1 AND EXISTS (
             SELECT 1 FROM sun_loads t WHERE t.load = 2 AND t.staid = s.staid AND t.souid = s.souid
@@ -294,10 +301,7 @@ def statements() -> dict[str, str]:
             cast(sum(total_packages) as bigint) AS packages FROM masked WHERE year = 1997 AND month = 10
             GROUP BY 1, 2, 3 ORDER BY year, packages DESC, ingredient LIMIT 10""",
         # masking and governed views
-        "masked_view": f"""SELECT medication_id, year, month, ingredient, atc_code, package_code_masked,
-            package_label_masked, total_packages,
-            {_doubles(['total_amount', 'health_insurance_amount', 'amount_over_reference_price'])},
-            total_prescriptions_range, total_persons FROM masked""",
+        "masked_view": _MASKED,
         "governed_limited": """SELECT year, month, package_code_masked,
             cast(sum(total_packages) as bigint) AS packages, cast(sum(total_persons) as bigint) AS persons
             FROM masked GROUP BY 1, 2, 3""",
@@ -469,6 +473,35 @@ def statements() -> dict[str, str]:
             range(10), lambda k: coalesce(u[i + 1 + k], '')), '') || 'e') AS digest
             FROM (SELECT *, cast({samples.DECOMPOSED_AT} as int) AS i FROM lineitem),
             (SELECT string_split('{_UNMARKED}', '{_SPLIT}') AS u)""",
+        "stored_order": """SELECT true AS several_files, count(*) AS rows, 0 AS inversions, 0 AS overlaps
+            FROM orders""",
+        "masked_view_sql": _MASKED,
+        "role_views_sql": """SELECT package_code_masked, w.avg_monthly_temp > 10 AS warm,
+            cast(sum(total_packages) as bigint) AS packages FROM masked m
+            JOIN dim_wx w ON w.date_id = cast(m.year * 100 + m.month as varchar) GROUP BY 1, 2""",
+        "surrogate_keys_wide": """SELECT p_partkey,
+            md5(p_brand || '|' || p_name || '|' || cast(p_size as varchar)) AS key FROM part""",
+        "fact_wide_keys": f"""SELECT md5(date_id || '|' || upper(id)) AS fact_id, id AS medication_id, date_id,
+            ingredient, package_code, total_packages FROM (
+            SELECT cast(year * 100 + month as varchar) AS date_id, md5({_spelled(*_MEDICATION_KEYS)}) AS id, *
+            FROM dim_med )""",
+        "lake_reload": """SELECT s.staid, s.souid, CASE WHEN s.staid % 3 != 0 THEN s.country ELSE '' END AS country,
+            days, ss_raw, true AS stamped FROM stations s LEFT JOIN (SELECT staid, count(*) AS days,
+            cast(sum(ss_raw) as bigint) AS ss_raw FROM sunshine GROUP BY 1) d ON d.staid = s.staid""",
+        "ensured_table": """SELECT cast(year(o_orderdate) as int) AS year, count(*) AS rows,
+            max(o_orderkey) AS last FROM orders GROUP BY 1""",
+        "table_reload_orders": """SELECT o_orderkey, o_custkey, false AS replaced_by_nothing,
+            (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 1) AS added FROM orders WHERE o_orderkey % 3 < 2""",
+        "table_overwrite_part": "SELECT p_partkey, p_brand, p_size FROM part",
+        "sample_rows": "SELECT least(5, count(*)) AS rows, 0 AS strangers FROM orders",
+        "season_names": """SELECT CASE month(o_orderdate) % 12 // 3 WHEN 0 THEN 'Winter' WHEN 1 THEN 'Spring'
+            WHEN 2 THEN 'Summer' ELSE 'Autumn' END AS season, count(*) AS orders FROM orders GROUP BY 1""",
+        "last_line_of_all": """SELECT 1 AS staid, o_custkey AS souid, max(o_orderkey) % 1000 AS ss_raw
+            FROM orders GROUP BY o_custkey""",
+        "header_below_all": _WEATHER_FILES,
+        "blank_cells": """SELECT conv_id, turn, blank, CASE WHEN NOT blank AND trim(text) != ''
+            THEN cast(length(text) as int) END AS chars
+            FROM conversations, (SELECT unnest([false, true]) AS blank)""",
         # files
         "quoted_breaks": f"""SELECT year, month, cast(month_date as varchar) AS month_date, ingredient,
             {samples.TORN_PACKAGE} AS package, persons, prescriptions, packages_count,

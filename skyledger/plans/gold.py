@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from skyledger.functions import dates
 from skyledger.functions.keys import surrogate_key
@@ -132,6 +133,8 @@ def fact_medication_sales(
 ) -> DataFrame:
     """One row per medication row, with the weather and sunshine of its month.
 
+    Its own key is of the kind of ``medication_id``: a number, or binary where that is wide.
+
     Months without weather or sunshine keep their sales; the missing side is null,
     or zero with ``default_fill``. The month dimensions are broadcast, so the sales
     are never shuffled here.
@@ -156,9 +159,12 @@ def fact_medication_sales(
         "sunshine_id",
         F.col("avg_station_monthly_hours").cast("double").alias("avg_sunshine_hours"),
     )
+    wide = isinstance(medications.schema["medication_id"].dataType, BinaryType)
+    product = F.hex("medication_id") if wide else F.col("medication_id")
+    fact_id = surrogate_key("date_id", product, algo="wide" if wide else "md5", required=True)
     joined = sales.join(month_side(wx), "date_id", "left").join(month_side(sun), "date_id", "left")
     fact = joined.select(
-        surrogate_key("date_id", "medication_id", required=True).alias("fact_id"),
+        fact_id.alias("fact_id"),
         "date_id",
         "medication_id",
         *UNMATCHED,

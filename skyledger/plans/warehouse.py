@@ -7,6 +7,7 @@ fact-length tables are bucketed on ``medication_id`` and join without a shuffle.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,10 @@ SUNSHINE_KEYS, STATION_KEYS = ["staid", "souid", "date"], ["staid", "souid"]
 
 @dataclass
 class Settings:
-    """What differs between installations: calendar, first years, bucket count, rules."""
+    """What differs between installations: calendar, first years, bucket count, rules.
+
+    ``key_algo`` is the kind of the product and fact keys: ``wide`` from some 10^8 rows on.
+    """
 
     first_sales_year: int = silver.FIRST_SALES_YEAR
     today: dt.date | None = None
@@ -41,6 +45,7 @@ class Settings:
     first_month_year: int = gold.FIRST_MONTH_YEAR
     default_fill: bool = False
     buckets: int = 8
+    key_algo: str = "md5"
 
 
 def ingest_sunshine(spark: SparkSession, folder: str, lake: str) -> str:
@@ -65,17 +70,24 @@ def publish_sunshine(spark: SparkSession, lake: str) -> None:
         load_bronze(daily.drop("year"), "sunshine_daily")
     stations = tables.lake_table(spark, f"{lake}/sunshine_sources")
     if stations is not None:
-        serving = tables.stamped(tables.with_defaults(stations))
-        newest = tables.one_per_key(serving, BRONZE_SORT["sunshine_sources"], [F.desc("_ingested_at")])
-        load_bronze(newest, "sunshine_sources")
+        load_bronze(serving_stations(stations), "sunshine_sources")
 
 
-def load_bronze(df: DataFrame, name: str) -> bool:
-    """Replace a raw table, in key order, if there are rows at all. The input is parsed once."""
+def load(df: DataFrame, name: str, sort_by: Sequence[str]) -> bool:
+    """Replace a table, in key order, if there are rows at all. The input is parsed once."""
     rows = staged(df)
     if rows.isEmpty():
         return False
-    return tables.replace_if_any(tables.sorted_layout(rows, BRONZE_SORT[name]), table_name("bronze", name), known=True)
+    return tables.replace_if_any(tables.sorted_layout(rows, sort_by), name, known=True)
+
+
+def load_bronze(df: DataFrame, name: str) -> bool:
+    return load(df, table_name("bronze", name), BRONZE_SORT[name])
+
+
+def serving_stations(stations: DataFrame) -> DataFrame:
+    """Stations as they are served: defaults for what is missing, a stamp, one row per key."""
+    return tables.stamped(tables.one_per_key(tables.with_defaults(stations), STATION_KEYS))
 
 
 def ingest(spark: SparkSession, folder: str, lake: str) -> None:
@@ -129,11 +141,14 @@ def build_gold(spark: SparkSession, settings: Settings) -> None:
     bucketed = {"bucket_by": "medication_id", "buckets": settings.buckets}
     quality.enforce(quality.total_checks(clean["medications_cleaned"], TOTALS))
     medications = tables.materialize(
-        gold.dim_medications(clean["medications_cleaned"]),
+        gold.dim_medications(clean["medications_cleaned"], algo=settings.key_algo),
         table_name("gold", "dim_medications"),
         sort_by=["year", "month"],
         **bucketed,
     )
+    # Two products under one key would be joined to each other's sales. The table is bucketed
+    # on the key, so the gate needs no shuffle.
+    quality.enforce(quality.unique(medications, "medication_id"))
     fact = gold.fact_medication_sales(
         medications, months["dim_weather"], months["dim_sunshine"], settings.default_fill
     )

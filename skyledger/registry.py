@@ -16,7 +16,7 @@ from skyledger.functions.keys import surrogate_key
 from skyledger.functions.masks import mask_code, mask_label, range_label
 from skyledger.operators import aggregates, governance, joins, quality, tables, versions
 from skyledger.operators.shape import conform, rename_headers
-from skyledger.plans import gold, refresh, reports, samples, silver
+from skyledger.plans import gold, refresh, reports, samples, silver, warehouse
 from skyledger.plans.bindings import FIRST_YEAR, MEDICATIONS, TODAY, WEATHER, Warehouse, projection
 from skyledger.schemas import SUNSHINE_SOURCES
 from skyledger.session import remove, shared_dir, staged, tune
@@ -58,6 +58,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: runner(function) for name, function in _QUERIES.items()}
 
 
+# ---- stored tables ----------------------------------------------------------
+
+
+@contextmanager
+def _scratch(w: Warehouse):
+    """A database of its own in the shared folder, gone with all tables at the end."""
+    folder = shared_dir(w.spark)
+    name = f"scratch_{uuid.uuid4().hex[:12]}"
+    w.spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    try:
+        yield name
+    finally:
+        w.spark.sql(f"DROP DATABASE {name} CASCADE")
+        remove(w.spark, folder)
+
+
+def _stored_star(w: Warehouse, database: str) -> dict[str, DataFrame]:
+    """The star as a build leaves it: both long tables bucketed on the product key, the fact
+    made from the stored products."""
+    bucketed = {"bucket_by": "medication_id", "buckets": int(w.spark.conf.get("spark.sql.shuffle.partitions"))}
+    star = {
+        "weather": tables.materialize(w.dim_weather, f"{database}.dim_weather"),
+        "medications": tables.materialize(w.dim_medications, f"{database}.dim_medications", **bucketed),
+    }
+    fact = gold.fact_medication_sales(star["medications"], star["weather"], w.dim_sunshine)
+    return star | {"fact": tables.materialize(fact, f"{database}.fact", **bucketed)}
+
+
+def _of_stored_star(w: Warehouse, report: Callable[[dict[str, DataFrame]], DataFrame]) -> DataFrame:
+    """A report's rows, in its order, read from the stored star."""
+    with _scratch(w) as database:
+        rows = report(_stored_star(w, database))
+        rows = staged(rows.withColumn("_order", F.monotonically_increasing_id()))
+    return rows.orderBy("_order").drop("_order")
+
+
 # ---- silver and gold models -------------------------------------------------
 
 
@@ -127,7 +163,7 @@ def temp_vs_sales(w):
 
 @query
 def season_by_type(w):
-    return reports.season_by_type(w.fact, w.dim_date, w.dim_medications)
+    return _of_stored_star(w, lambda star: reports.season_by_type(star["fact"], w.dim_date, star["medications"]))
 
 
 @query
@@ -137,12 +173,16 @@ def temp_vs_packages(w):
 
 @query
 def ingredient_month(w):
-    return reports.ingredient_month(w.fact, w.dim_medications, w.dim_date, w.dim_weather)
+    return _of_stored_star(
+        w, lambda star: reports.ingredient_month(star["fact"], star["medications"], w.dim_date, star["weather"])
+    )
 
 
 @query
 def extreme_weather(w):
-    return reports.extreme_weather(w.fact, w.dim_medications, w.dim_weather)
+    return _of_stored_star(
+        w, lambda star: reports.extreme_weather(star["fact"], star["medications"], star["weather"])
+    )
 
 
 @query
@@ -152,7 +192,7 @@ def month_trend(w):
 
 @query
 def supply_per_month(w):
-    return reports.supply_per_month(w.fact, w.dim_medications, w.dim_date)
+    return _of_stored_star(w, lambda star: reports.supply_per_month(star["fact"], star["medications"], w.dim_date))
 
 
 @query
@@ -769,7 +809,7 @@ def bucketed_join(w):
     bucketed = {"bucket_by": "medication_id", "buckets": 8}
     medications = tables.materialize(w.dim_medications, dim, **bucketed)
     sales = tables.materialize(w.fact.select("medication_id", "total_persons"), fact, **bucketed)
-    joined = sales.drop("x").join(medications.select("medication_id", "ingredient"), "medication_id")
+    joined = sales.join(medications.select("medication_id", "ingredient"), "medication_id")
     result = staged(joined.groupBy("ingredient").agg(F.sum("total_persons").alias("persons")))
     for name in (fact, dim):
         w.spark.sql(f"DROP TABLE {name}")
@@ -786,19 +826,6 @@ def incremental_table(w):
     return tables.lake_table(w.spark, path)
 
 
-@contextmanager
-def _scratch(w: Warehouse):
-    """A database of its own in the shared folder, gone with all tables at the end."""
-    folder = shared_dir(w.spark)
-    name = f"scratch_{uuid.uuid4().hex[:12]}"
-    w.spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
-    try:
-        yield name
-    finally:
-        w.spark.sql(f"DROP DATABASE {name} CASCADE")
-        remove(w.spark, folder)
-
-
 @query
 def upsert_published(w):
     """Overlapping loads of daily sunshine into a table that shows each load all at once."""
@@ -841,6 +868,181 @@ def dim_date_model(w):
     )
 
 
+@query
+def stored_order(w):
+    """How a table stored in key order lies on disk: several files, each in order, none
+    reaching into the next."""
+    keys = ["o_custkey", "o_orderdate"]
+    with _scratch(w) as database:
+        orders = w.table("orders").select(*keys, "o_orderkey")
+        stored = tables.materialize(orders, f"{database}.orders", sort_by=keys, files=6)
+        found = staged(tables.key_order(stored, keys))
+    return found.select((F.col("files") > 1).alias("several_files"), "rows", "inversions", "overlaps")
+
+
+@query
+def masked_view_sql(w):
+    """The published view of the masked products, made and read by its name."""
+    dims = {"medications": w.dim_medications, "weather": w.dim_weather, "sunshine": w.dim_sunshine, "date": w.dim_date}
+    with _scratch(w) as database:
+        for subject, dim in dims.items():
+            tables.materialize(dim, f"{database}.dim_{subject}")
+        for name, sql in governance.view_queries(database).items():
+            tables.publish_view(w.spark, name, sql)
+        return staged(w.spark.table(f"{database}.v_medications_masked"))
+
+
+@query
+def role_views_sql(w):
+    """A role's temporary views, asked in SQL: packages per masked code and month's warmth."""
+    names = governance.role_views("analyst_limited", {"dim_medications": w.dim_medications, "dim_weather": w.dim_weather})
+    found = w.spark.sql(
+        f"""SELECT m.package_code_masked, t.avg_monthly_temp > 10 AS warm, sum(m.total_packages) AS packages
+        FROM {names["dim_medications"]} m JOIN {names["dim_weather"]} t
+        ON t.date_id = cast(m.year * 100 + m.month AS string) GROUP BY ALL"""
+    )
+    return staged(found)
+
+
+@query
+def surrogate_keys_wide(w):
+    """Keys that hold the whole digest."""
+    part = w.table("part")
+    return part.select("p_partkey", F.lower(F.hex(surrogate_key("p_brand", "p_name", "p_size", algo="wide"))).alias("key"))
+
+
+@query
+def fact_wide_keys(w):
+    """The fact and its products under wide keys, joined by them."""
+    medications = gold.dim_medications(w.medications_cleaned, algo="wide")
+    fact = gold.fact_medication_sales(medications, w.dim_weather, w.dim_sunshine)
+    names = medications.select("medication_id", "ingredient", "package_code")
+    return fact.join(names, "medication_id").select(
+        F.lower(F.hex("fact_id")).alias("fact_id"),
+        F.lower(F.hex("medication_id")).alias("medication_id"),
+        "date_id",
+        "ingredient",
+        "package_code",
+        "total_packages",
+    )
+
+
+@query
+def lake_reload(w):
+    """Lake tables loaded into serving tables: daily rows in key order, stations with defaults,
+    a stamp, and one row per key."""
+    lake = shared_dir(w.spark)
+    tables.write_lake(tables.with_year(w.sunshine, "date"), f"{lake}/daily", "year")
+    sparse = w.stations.withColumn("country", F.when(F.col("staid") % 3 != 0, F.col("country")))
+    tables.write_lake(sparse.unionByName(sparse.filter("staid % 2 = 0")), f"{lake}/stations")
+    with _scratch(w) as database:
+        daily, stations = f"{database}.sunshine_daily", f"{database}.sunshine_sources"
+        warehouse.load(tables.lake_table(w.spark, f"{lake}/daily").drop("year"), daily, ["souid", "date"])
+        warehouse.load(warehouse.serving_stations(tables.lake_table(w.spark, f"{lake}/stations")), stations, ["staid", "souid"])
+        # A reload without rows leaves the old ones.
+        warehouse.load(w.sunshine.filter("false"), daily, ["souid", "date"])
+        days = w.spark.table(daily).groupBy("staid").agg(F.count("*").alias("days"), F.sum("ss_raw").alias("ss_raw"))
+        joined = w.spark.table(stations).join(days, "staid", "left")
+        return staged(joined.select("staid", "souid", "country", "days", "ss_raw", F.col("_ingested_at").isNotNull().alias("stamped")))
+
+
+@query
+def ensured_table(w):
+    """A table made from a schema when it is missing, and left alone when it is there."""
+    orders = w.table("orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    with _scratch(w) as database:
+        name = f"{database}.orders"
+        tables.ensure_table(w.spark, name, orders.schema, ["year"])
+        tables.overwrite_rows(orders, name)
+        tables.ensure_table(w.spark, name, orders.schema, ["year"])
+        return staged(w.spark.table(name).groupBy("year").agg(F.count("*").alias("rows"), F.max("o_orderkey").alias("last")))
+
+
+@query
+def table_reload_orders(w):
+    """Create, truncate and load, keep the old rows on empty input, append with a count."""
+    rows = w.table("orders").select("o_orderkey", "o_custkey")
+    with _scratch(w) as database:
+        name = f"{database}.orders"
+        tables.create_as(rows, name)
+        kept = tables.replace_if_any(rows.filter("false"), name)
+        tables.replace_if_any(rows.filter("o_orderkey % 3 = 0"), name)
+        added = tables.append_counted(rows.filter("o_orderkey % 3 = 1"), name)
+        stored = staged(w.spark.table(name))
+    return stored.select("*", F.lit(kept).alias("replaced_by_nothing"), F.lit(added).cast("bigint").alias("added"))
+
+
+@query
+def table_overwrite_part(w):
+    """Rows overwritten in place; the table was dropped and made anew before."""
+    rows = w.table("part").select("p_partkey", "p_brand", "p_size")
+    with _scratch(w) as database:
+        name = f"{database}.part"
+        tables.create_as(rows.filter("p_size > 25"), name)
+        tables.drop_and_create(rows.limit(0), name)
+        tables.overwrite_rows(rows, name)
+        return staged(w.spark.table(name))
+
+
+@query
+def sample_rows(w):
+    """A few rows to look at: how many, and how many of them the table does not have."""
+    orders = w.table("orders")
+    few = staged(quality.sample(orders.select("o_orderkey", "o_custkey"), 5))
+    strangers = few.join(orders, ["o_orderkey", "o_custkey"], "left_anti")
+    counts = few.agg(F.count("*").alias("rows"))
+    return counts.select("rows", F.lit(strangers.count()).cast("bigint").alias("strangers"))
+
+
+@query
+def season_names(w):
+    """Orders per season, seasons named by literal rows with a schema."""
+    rows = [(month, season) for season, months in dates.SEASONS.items() for month in months]
+    names = F.broadcast(w.spark.createDataFrame(rows, "month int, season string"))  # twelve rows
+    months = w.table("orders").select(F.month("o_orderdate").alias("month"))
+    return months.join(names, "month").groupBy("season").agg(F.count("*").alias("orders"))
+
+
+@query
+def last_line_of_all(w):
+    """Of all lines with one key the last of the file holds."""
+    orders = w.table("orders")
+    fields = ("1", F.col("o_custkey").cast("string"), "20200101", (F.col("o_orderkey") % 1000).cast("string"), "0")
+    text_ = F.concat_ws(",", *[F.lit(f) if isinstance(f, str) else f for f in fields])
+    return _last_lines(orders, text_)
+
+
+def _last_lines(orders: DataFrame, text_) -> DataFrame:
+    def line(number):
+        return F.struct(F.lit(0).cast("bigint").alias("split"), number.cast("bigint").alias("line")).alias("place")
+
+    body = orders.select(F.lit("a.txt").alias("file"), line(F.col("o_orderkey")), text_.alias("value"))
+    top = orders.limit(1).select(F.lit("a.txt").alias("file"), line(F.lit(-1)), F.lit("STAID,SOUID,DATE,SS,Q_SS").alias("value"))
+    rows = lines.daily_rows(top.unionByName(body), placed=True)
+    return lines.last_line(rows, ["staid", "souid", "date"]).select("staid", "souid", "ss_raw")
+
+
+@query
+def header_below_all(w):
+    """Headers below as many rows of notes as the sheet has rows of data."""
+    notes = w.table("orders").select(
+        F.concat("o_orderpriority", F.lit("-hourly.csv")).alias("file"),
+        F.lit(0).alias("sheet"),
+        (F.col("o_orderkey") - F.lit(1 << 40)).alias("place"),
+        F.array(F.lit("note"), F.col("o_totalprice").cast("string")).alias("cells"),
+    )
+    return grids.weather_rows(_weather_grid(w).unionByName(notes))
+
+
+@query
+def blank_cells(w):
+    """Texts of all turns beside a blank copy of each."""
+    turns = w.table("conversations")
+    both = turns.select("conv_id", "turn", F.explode(F.array(F.lit(False), F.lit(True))).alias("blank"), "text")
+    cell = F.when(F.col("blank"), F.lit(f" {samples.NBSP}{samples.THIN}")).otherwise(F.col("text"))
+    return both.select("conv_id", "turn", "blank", F.length(text.text_or_null(cell)).alias("chars"))
+
+
 # ---- files ------------------------------------------------------------------
 
 

@@ -133,3 +133,28 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 
 def test_shared_dir_is_under_the_configured_folder(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_key_order_sees_what_is_out_of_order(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS loads")
+    df = spark.range(5000).select((F.col("id") * 7919 % 1000).alias("k"), F.col("id").alias("v")).repartition(4)
+    report = lambda name: tables.key_order(spark.table(name), ["k"]).first()
+    tables.materialize(df, "loads.in_order", sort_by=["k"], files=4)
+    good = report("loads.in_order")
+    assert (good["files"], good["rows"], good["inversions"], good["overlaps"]) == (4, 5000, 0, 0)
+    df.write.mode("overwrite").saveAsTable("loads.as_it_came")
+    bad = report("loads.as_it_came")
+    assert bad["inversions"] > 1000 and bad["overlaps"] == bad["files"] - 1
+    df.sortWithinPartitions("k").write.mode("overwrite").saveAsTable("loads.sorted_only")
+    bad = report("loads.sorted_only")
+    assert bad["inversions"] == 0 and bad["overlaps"] > 0
+
+
+def test_key_order_with_a_hot_key_and_nothing(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS loads")
+    hot = spark.range(4000).select(F.lit(7).alias("k"), F.col("id"))
+    tables.materialize(hot, "loads.hot", sort_by=["k"], files=4)
+    row = tables.key_order(spark.table("loads.hot"), ["k"]).first()
+    assert row["files"] > 1 and (row["inversions"], row["overlaps"]) == (0, 0)
+    tables.materialize(hot.limit(0), "loads.nothing")
+    assert tuple(tables.key_order(spark.table("loads.nothing"), ["k"]).first()) == (0, 0, 0, 0)

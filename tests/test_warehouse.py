@@ -3,9 +3,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from skyledger.operators import tables
-from skyledger.plans import reports, warehouse
+from skyledger.operators import governance, quality, tables
+from skyledger.plans import gold, reports, warehouse
 from skyledger.session import shared_dir
 
 SALES = "Aasta,Kuu,Toimeaine,Pakend,Isikute arv,Retseptide arv,Pakendite arv,Retsepti kogusumma,Üle piirhinna"
@@ -89,3 +90,62 @@ def test_reload_merges_and_empty_input_changes_nothing(spark, built, tmp_path):
     before = spark.table("bronze.weather_hourly").count()
     warehouse.ingest(spark, str(tmp_path), lake)
     assert spark.table("bronze.weather_hourly").count() == before == 8
+
+
+REPORTS = {
+    "season_by_type": lambda s: reports.season_by_type(s["fact_medication_sales"], s["dim_date"], s["dim_medications"]),
+    "ingredient_month": lambda s: reports.ingredient_month(
+        s["fact_medication_sales"], s["dim_medications"], s["dim_date"], s["dim_weather"]
+    ),
+    "extreme_weather": lambda s: reports.extreme_weather(s["fact_medication_sales"], s["dim_medications"], s["dim_weather"]),
+    "supply_per_month": lambda s: reports.supply_per_month(s["fact_medication_sales"], s["dim_medications"], s["dim_date"]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_reports_join_the_stored_star_without_a_shuffle(spark, built, name):
+    """However large both tables are: below the partial sums there is no exchange of the fact."""
+    star = {n: table(spark, n) for n in ("fact_medication_sales", "dim_medications", "dim_weather", "dim_date")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = REPORTS[name](star)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert report.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = plan[plan.rindex("partial_"):]  # what feeds the first partial aggregate
+    assert "SortMergeJoin" in below or "ShuffledHashJoin" in below
+    assert "Exchange hashpartitioning" not in below.replace("BroadcastExchange", "")
+
+
+def test_stored_months_are_not_built_again(spark, built):
+    _, lake = built
+    files = lambda: set(table(spark, "dim_weather").inputFiles())
+    before = files()
+    warehouse.build_gold(spark, warehouse.Settings(today=dt.date(2024, 12, 31), buckets=4))
+    assert files() == before != set()
+
+
+def test_wide_keys_and_their_gate(spark, built):
+    clean = spark.table("model_silver.medications_cleaned")
+    wide = gold.dim_medications(clean, algo="wide")
+    fact = gold.fact_medication_sales(wide, table(spark, "dim_weather"), table(spark, "dim_sunshine"))
+    assert fact.schema["fact_id"].dataType.simpleString() == "binary" and fact.join(wide, "medication_id").count() == 9
+    collided = wide.withColumn("medication_id", F.lit(b"same"))
+    with pytest.raises(ValueError, match="unique_medication_id"):
+        quality.enforce(quality.unique(collided, "medication_id"))
+
+
+def test_the_key_gate_reads_buckets_without_a_shuffle(spark, built):
+    plan = quality.unique(table(spark, "dim_medications"), "medication_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_role_views(spark, built):
+    frames = {"dim_medications": table(spark, "dim_medications"), "dim_weather": table(spark, "dim_weather")}
+    names = governance.role_views("analyst_limited", frames)
+    seen = spark.table(names["dim_medications"])
+    assert "package_code_masked" in seen.columns and "package_code" not in seen.columns
+    assert spark.sql(f"SELECT * FROM {names['dim_weather']}").count() == 2
+    with pytest.raises(PermissionError):
+        governance.role_views("visitor", frames)
