@@ -14,6 +14,7 @@ from skyledger.session import shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_AT_ONCE = 500
+NO_ID = -(1 << 63)  # stands for a null doc_id where rows pass through pandas
 SAFE = "_llm_"  # prefix of helper columns, so that extra input columns cannot clash
 
 
@@ -38,6 +39,17 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_ids() -> Column:
+    """``doc_id`` as a long that is never null: pandas turns a long column with nulls into
+    doubles, which changes ids above 2^53."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
+
+
+def own_ids(df: DataFrame) -> DataFrame:
+    """``df`` with null again where ``whole_ids`` put a number."""
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
 def gapless(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str, buckets: int) -> DataFrame:
     """``out``: a gapless number from 0 within ``keys``.
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import SAFE, WORD, staged, table
+from skyledger.llm.common import SAFE, WORD, own_ids, staged, table, whole_ids
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -128,7 +128,7 @@ def mix(
     ``block`` rows spread by hash, so a source with a third of all rows is many tasks.
     """
     spark = docs.sparkSession
-    sized = staged(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size")))
+    sized = staged(docs.select(whole_ids(), F.col("source").cast("string"), word_count(F.col("text")).alias("size")))
     known = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     known.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["size"] for r in known]
@@ -160,7 +160,7 @@ def mix(
     for more in done[1:]:
         result = result.unionByName(more)
     taken = (F.col("size") * (F.col("copies") + F.col("chance").cast("int"))).cast("long")
-    return result.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return own_ids(result.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken")))
 
 
 def resample(docs: DataFrame, **settings) -> DataFrame:

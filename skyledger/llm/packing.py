@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import gapless, staged, table, tidy
+from skyledger.llm.common import gapless, own_ids, staged, table, tidy, whole_ids
 from skyledger.llm.tokens import VOCABULARY, encoder
 
 CAPACITY = 2048
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
 
     text = F.col("text").cast("string").alias("text")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, F.xxhash64("doc_id", "text").alias("text_key")).mapInPandas(tidy(cut), PIECES)
+    return own_ids(docs.select(whole_ids(), text, F.xxhash64("doc_id", "text").alias("text_key")).mapInPandas(tidy(cut), PIECES))
 
 
 # ---- one island ---------------------------------------------------------------

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import staged, table, tidy
+from skyledger.llm.common import NO_ID, staged, table, tidy
 from skyledger.llm.repeats import batches, runs, squeeze, thaw, widen
 from skyledger.llm.simhash import LOWER
 
@@ -40,9 +40,6 @@ TABLE = 1 << 24
 PIECE = 1 << 20  # places scored together
 
 
-NO_ID = -(1 << 63)  # stands for a null doc_id
-
-
 def is_training(doc_id: int) -> bool:
     return zlib.crc32(b"" if doc_id == NO_ID else str(doc_id).encode()) % FOLDS != HELD_OUT
 

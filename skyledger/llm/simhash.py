@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import components, staged, table, tidy
+from skyledger.llm.common import components, own_ids, staged, table, tidy, whole_ids
 
 SHINGLE = 4
 BITS = 4
@@ -62,8 +62,8 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(hashes(t, width)) for t in batch["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return ids.mapInPandas(tidy(run), "doc_id long, fp long")
+    ids = docs.select(whole_ids(), F.col("text").cast("string").alias("text"))
+    return own_ids(ids.mapInPandas(tidy(run), "doc_id long, fp long"))
 
 
 # ---- reference fingerprints ------------------------------------------------------

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import per_process, table
+from skyledger.llm.common import own_ids, per_process, table, whole_ids
 
 VOCABULARY = "byte_bpe_50k"
 CACHE = 600_000
@@ -117,7 +117,8 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, sections=line_se
     A token belongs to the section with its first byte; ``n_crossing`` of a section's tokens
     end in a later one. Over a document the counts add up to its tokens. Null and empty
     texts give one row with section 0 and no tokens. Rows with one doc_id are separate
-    documents. An empty table gives no rows. Other columns are left out of the result.
+    documents, and so are rows without one. An empty table gives no rows. Other columns are
+    left out of the result.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -145,9 +146,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, sections=line_se
                 yield pd.DataFrame(np.concatenate(out), columns=names)
 
     names = [part.split()[0] for part in SECTION_SHAPE.split(", ")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        count, SECTION_SHAPE
-    )
+    return own_ids(docs.select(whole_ids(), F.col("text").cast("string").alias("text")).mapInPandas(count, SECTION_SHAPE))
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:

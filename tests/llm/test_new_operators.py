@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import audit, merkle, winnowing
+from skyledger.llm import audit, merkle, mixing, packing, repeats, scoring, sharding, simhash, tokens, winnowing
 
 
 @pytest.fixture(scope="module")
@@ -263,3 +263,32 @@ def test_hot_copies_are_possible_repeats(spark):
     keys = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.xxhash64("id")).alias("key"))
     possible = audit.repeat_filter(keys, 20_000)
     assert keys.where(possible("key")).where("key = 5").count() == 6667
+
+
+# ---- ids that doubles cannot hold, beside a row without one ----------------------
+
+IDS = [2**53 + 1, None, 2**53 + 3]
+BY_ID = {
+    "merkle": checked,
+    "winnowing": lambda d: winnowing.contaminated(d, d.select(F.lit(1).alias("item_id"), "text")),
+    "sharding": sharding.shard,
+    "simhash": simhash.near_duplicates,
+    "tokens": tokens.token_counts,
+    "scoring": scoring.score,
+    "packing": packing.pack,
+    "mixing": mixing.mix,
+    "repeats": repeats.repeated,
+}
+
+
+@pytest.mark.parametrize("name", sorted(BY_ID))
+def test_ids_stay_exact(spark, name):
+    rows = [(i, f"some words of text number {n} that are long enough " * 3, "en", "a", 1) for n, i in enumerate(IDS)]
+    docs = spark.createDataFrame(rows, corpus.DOCS).coalesce(1)
+    found = {r["doc_id"] for r in BY_ID[name](docs).select("doc_id").collect()}
+    assert found == set(IDS)
+
+
+def test_components_name_exact_ids(spark):
+    docs = spark.createDataFrame([(i, "the same text", "en", "a", 1) for i in IDS], corpus.DOCS).coalesce(1)
+    assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {2**53 + 1}
