@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import audit, merkle, mixing, packing, repeats, scoring, sharding, simhash, tokens, winnowing
+from skyledger.llm import audit, merkle, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, winnowing
 
 
 @pytest.fixture(scope="module")
@@ -292,3 +292,14 @@ def test_ids_stay_exact(spark, name):
 def test_components_name_exact_ids(spark):
     docs = spark.createDataFrame([(i, "the same text", "en", "a", 1) for i in IDS], corpus.DOCS).coalesce(1)
     assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {2**53 + 1}
+
+
+def test_equal_scores_go_to_the_smaller_ids(spark):
+    """Thirty different vectors of one direction: all have the same score."""
+    base = np.random.default_rng(2).normal(size=8).astype(np.float32)
+    rows = [(i, (base * 2.0 ** (i * 7 % 30)).tolist(), 0) for i in range(1, 31)] + [(50, base.tolist(), 0)]
+    rows += [(100 + i, np.random.default_rng(i).normal(size=8).astype(np.float32).tolist(), 0) for i in range(200)]
+    frame = spark.createDataFrame(rows, corpus.VECTORS)
+    for shard in (4096, 40):
+        got = neighbours.nearest(frame, frame.where("vec_id = 50"), shard=shard).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
