@@ -1,7 +1,8 @@
 """Every registered query of the star schema on ``$BENCH_SF_DIR``; prints one JSON line.
 
-Each query runs once to warm up and then ``BENCH_REPEATS`` times (default 1), all alike;
-the median counts. Building the frames is part of the time.
+The session is warmed up by one query; then each runs ``BENCH_REPEATS`` times (default 1),
+all alike, and the median counts. Building the frames, staging and compiling are part of the
+time. Times so far go to standard error.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ def run(query, spark, folder: str) -> float:
 
 def measure(spark, known, folder: str, repeats: int) -> dict:
     times = {}
+    run(known[min(known)], spark, folder)
     for name in sorted(known):
-        run(known[name], spark, folder)
         times[name] = round(statistics.median(run(known[name], spark, folder) for _ in range(repeats)), 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     return {
         "metric": "total time of all queries",
         "value": round(sum(times.values()), 3),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,24 +53,39 @@ def _decompositions() -> tuple[dict[str, str], str]:
     return changed, "".join(marks)
 
 
-def _char_class(chars: str) -> str:
-    """A regular expression for one of the characters, in runs of neighbouring codes."""
+def _char_class(chars: Iterable[str], gap: int = 64) -> str:
+    """A regular expression for some of whose matches are the characters: near ones are one run.
+
+    What lies below them all, most of most texts, is ruled out by one comparison.
+    """
     runs: list[list[int]] = []
     for code in sorted(map(ord, chars)):
-        if runs and runs[-1][1] == code - 1:
+        if runs and code - runs[-1][1] <= gap:
             runs[-1][1] = code
         else:
             runs.append([code, code])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+    spelled = "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in runs)
+    return f"(?=[^\\x00-\\x{{{runs[0][0] - 1:x}}}])[{spelled}]"
+
 
+def _pages(table: dict[str, str]) -> tuple[str, str]:
+    """The table as two lists: the first cell of each page of 256 codes, and the cells. Pages
+    without an entry share one of absent cells."""
+    used = sorted({ord(c) >> 8 for c in table})
+    starts = ["0"] * (used[-1] + 1)
+    cells = [ABSENT] * 256
+    for page in used:
+        starts[page] = str(len(cells))
+        cells += [table.get(chr(code), ABSENT) for code in range(page << 8, (page + 1) << 8)]
+    return SPLIT.join(starts), SPLIT.join(cells)
 
+
+ABSENT, SPLIT = "\x1e", "\x1f"
 DECOMPOSED, _MARKS = _decompositions()
 _ONE = {c: d for c, d in DECOMPOSED.items() if len(d) == 1}
 _MANY = {c: d for c, d in DECOMPOSED.items() if len(d) != 1}
-# Few characters become more than three; Hangul syllables become two or three.
-_SHORT = {c: d for c, d in _MANY.items() if len(d) <= 3}
-_LONG = {c: d for c, d in _MANY.items() if len(d) > 3}
-_MANY_CLASS, _SHORT_CLASS = _char_class("".join(_MANY)), _char_class("".join(_SHORT))
+_MANY_CLASS = _char_class(_MANY)
+_STARTS, _CELLS = _pages(_MANY)
 
 
 def base_letters(value: Column | str) -> Column:
@@ -80,27 +96,21 @@ def base_letters(value: Column | str) -> Column:
     return F.translate(as_column(value), "".join(_ONE) + _MARKS, "".join(_ONE.values()))
 
 
-def _expanded(char: Column, table: dict[str, str]) -> Column:
-    """A character of the table as its several characters: one look-up for each of them."""
-    parts = []
-    for at in range(max(map(len, table.values()))):
-        having = [c for c, d in table.items() if len(d) > at]
-        lacking = [c for c, d in table.items() if len(d) <= at]
-        parts.append(F.translate(char, "".join(having + lacking), "".join(table[c][at] for c in having)))
-    return F.concat(*parts)
-
-
 def accent_free(value: Column | str) -> Column:
     """Compatibility decomposition without marks, for every character there is.
 
-    Most texts hold only characters that become one character. The others are taken apart;
-    of their characters only those that become several are looked up one by one.
+    Most texts hold only characters that become one character. The others are taken apart, and
+    each of their characters is looked up by its code in a table of pages.
     """
     text = as_column(value)
+    # Both lists are constants, split once when the plan is made.
+    starts = F.split(F.lit(_STARTS), SPLIT, -1).cast("array<int>")
+    cells = F.split(F.lit(_CELLS), SPLIT, -1)
 
     def plain(char: Column) -> Column:
-        several = F.when(char.rlike(_SHORT_CLASS), _expanded(char, _SHORT)).otherwise(_expanded(char, _LONG))
-        return F.when(char.rlike(_MANY_CLASS), several).otherwise(char)
+        code = F.ascii(char)
+        start = F.coalesce(F.get(starts, F.shiftright(code, 8)), F.lit(0))
+        return F.coalesce(F.nullif(F.get(cells, start + code.bitwiseAND(255)), F.lit(ABSENT)), char)
 
     apart = F.array_join(F.transform(F.split(text, "", -1), plain), "")
     return base_letters(F.when(text.rlike(_MANY_CLASS), apart).otherwise(text))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 
+from skyledger.functions.text import DECOMPOSED
 from skyledger.plans import samples
 from skyledger.plans.bindings import (
     EVENT_WEATHER,
@@ -209,7 +210,7 @@ _FINITE = "CASE WHEN isfinite({c}) THEN {c} END AS {c}"
 _SPLIT = "\x1f"
 _UNMARKED = _SPLIT.join(
     "".join(p for p in unicodedata.normalize("NFKD", c) if not unicodedata.combining(p)).replace("'", "''")
-    for c in samples.ALL_DECOMPOSED
+    for c in DECOMPOSED
 )
 _MASKED = f"""SELECT medication_id, year, month, ingredient, atc_code, package_code_masked,
             package_label_masked, total_packages,

@@ -85,7 +85,7 @@ def projection(fields: dict[str, str]) -> list[str]:
 
 
 class Warehouse:
-    """Raw, silver and gold frames over one folder of given tables, all lazy."""
+    """Raw, silver and gold frames over one folder of given tables, made when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder

@@ -21,7 +21,7 @@ _NAMED = "Jaanuar,VEEBR.,Märts,apr.,Mai,juuni,July,aug,Sept.,okt,November,DETS.
 MONTH = "month(l_shipdate)"
 
 # All characters that decompose, and where each line of an order starts among them.
-ALL_DECOMPOSED = "".join(DECOMPOSED)
+ALL_DECOMPOSED = "\x1f".join(DECOMPOSED)
 DECOMPOSED_AT = f"((l_orderkey * 7 + l_linenumber) * 10) % {len(DECOMPOSED)}"
 
 # One spelling per line number; the seventh is not a month.
