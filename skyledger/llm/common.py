@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.session import shared_dir
+from skyledger.session import remove, shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_AT_ONCE = 500
@@ -39,6 +39,12 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the folder of a staged table that no later plan reads."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 def whole_ids() -> Column:
     """``doc_id`` as a long that is never null: pandas turns a long column with nulls into
     doubles, which changes ids above 2^53."""

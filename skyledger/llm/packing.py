@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import gapless, own_ids, staged, table, tidy, whole_ids
-from skyledger.llm.tokens import VOCABULARY, encoder
+from skyledger.llm.tokens import VOCABULARY, Encoder, remembering
 
 CAPACITY = 2048
 SHARD = 8_000  # pieces a shard holds, about
@@ -45,7 +45,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
     """The token pieces of every document; each ends with id 0."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = encoder(vocabulary)
+        with remembering(vocabulary) as code:
+            yield from coded(batches, code)
+
+    def coded(batches: Iterator[pd.DataFrame], code: Encoder) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc_id, text, key in zip(batch["doc_id"], batch["text"], batch["text_key"]):

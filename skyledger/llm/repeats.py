@@ -31,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import staged, table, tidy
+from skyledger.llm.common import discard, staged, table, tidy
 from skyledger.llm.suffixes import smallest_owner
 
 LENGTH = 50
 BATCH = 1 << 20  # bytes of text in a batch
 NAMES = 1_000_000  # names a place of step 2 gets, about
-PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
+PLACE = 1 << 19  # bytes of segments a place of step 3 gets, about
 PART = 1 << 20  # bytes of different segments that are sorted at once
 
 FIRST_GRAM, SECOND_GRAM = 20, 16
@@ -439,6 +439,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # Tasks by number of places: their work is not told by the compressed bytes.
     answers = sent.repartition(min(places, 4000), "place").groupBy("place").applyInPandas(tidy(_answer_names), "batch long, place long, bits binary")
     marked = staged(open_documents(packed, answers, length, places))
+    discard(packed)  # all that is still needed of it is in ``marked``
     settled = marked.select(F.explode("settled").alias("x")).select("x.*")
     opened = marked.where("opened is not null").select("batch", "windows", "opened")
     windows = opened.agg(F.sum("windows")).first()[0] or 0
@@ -458,7 +459,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(cut).unionByName(nameless)
 
 
-STAGE_LENGTH = 200  # bytes; passages of fifty short words can be shorter and stay
+STAGE_LENGTH = 101  # bytes; no passage of more than fifty words is shorter
 
 
 def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:

@@ -7,6 +7,9 @@ references of at least ``BANDS - d`` of ``BANDS`` groups of references. So finge
 when their distances agree on some choice of ``BANDS - d`` groups. Those that meet are
 discarded when the distances to any of a second set of references differ by more than d, and
 the rest are verified bit by bit.
+
+Said plainly: candidates meet by equal blocks of bits, which is what those local distances
+amount to. Only the second set of references discards by distances that are measured.
 """
 
 from __future__ import annotations

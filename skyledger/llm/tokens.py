@@ -12,13 +12,14 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import own_ids, per_process, table, whole_ids
+from skyledger.llm.common import own_ids, per_process, table, tidy, whole_ids
 
 VOCABULARY = "byte_bpe_50k"
 CACHE = 600_000
@@ -85,10 +86,25 @@ class Encoder:
         return (self._fresh(first) if first else b"") + b"".join(found)
 
 
+    def forget(self) -> None:
+        """Drops the remembered pieces: workers live on, and the next stage needs the room."""
+        self.spaced.clear()
+
+
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     return per_process(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
 
 
+@contextmanager
+def remembering(vocabulary: str = VOCABULARY) -> Iterator[Encoder]:
+    """The process's encoder, for one task: what it remembers goes with the task."""
+    code = encoder(vocabulary)
+    try:
+        yield code
+    finally:
+        code.forget()
+
+
 def line_sections(text: bytes) -> np.ndarray:
     """Start bytes of the sections of a text: its lines, each with its line end."""
     data = np.frombuffer(text, np.uint8)
@@ -122,7 +138,10 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, sections=line_se
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = encoder(vocabulary)
+        with remembering(vocabulary) as code:
+            yield from counted(batches, code)
+
+    def counted(batches: Iterator[pd.DataFrame], code: Encoder) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: list[np.ndarray] = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -146,7 +165,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, sections=line_se
                 yield pd.DataFrame(np.concatenate(out), columns=names)
 
     names = [part.split()[0] for part in SECTION_SHAPE.split(", ")]
-    return own_ids(docs.select(whole_ids(), F.col("text").cast("string").alias("text")).mapInPandas(count, SECTION_SHAPE))
+    return own_ids(docs.select(whole_ids(), F.col("text").cast("string").alias("text")).mapInPandas(tidy(count), SECTION_SHAPE))
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -49,7 +49,7 @@ def test_one_of_each_class_stays(spark, docs):
 def test_repeated_passages_go(spark, docs):
     data = plain(docs)
     expected = []
-    for (doc_id, text, *rest), mark in zip(data, corpus.removed([r[:2] for r in data], 200)):
+    for (doc_id, text, *rest), mark in zip(data, corpus.removed([r[:2] for r in data], 101)):
         if not any(mark):
             expected.append((doc_id, text, *rest))
             continue
@@ -70,6 +70,13 @@ def test_repeated_passages_go(spark, docs):
     assert len(expected) < len(data)
 
 
+def test_passages_of_fifty_one_short_words_go(spark):
+    passage = " ".join("abcdefghij"[i % 10] for i in range(51))
+    rows = [(i, f"start of text {i} {passage} end of text {i}", "en", "a", 1) for i in range(4)]
+    found = corpus_pipeline.repeated_passages(spark, spark.createDataFrame(rows, corpus.DOCS), corpus.SF).collect()
+    assert [passage in r.text for r in sorted(found)] == [True, False, False, False]
+
+
 def test_mix_takes_effect(spark, docs):
     found = corpus_pipeline.mixed(spark, docs, corpus.SF)
     assert found.columns == docs.columns
