@@ -135,6 +135,11 @@ _CTES = {
         total_packages, total_amount, total_prescriptions, total_persons
         FROM (SELECT cast(year * 100 + month as varchar) AS date_id, * FROM dim_med) f
         LEFT JOIN dim_wx USING (date_id) LEFT JOIN dim_sun USING (date_id)""",
+    "fact_sparse": """SELECT * REPLACE (CASE WHEN medication_id % 7 != 0 THEN fact_id END AS fact_id,
+        CASE WHEN medication_id % 11 != 0 THEN date_id END AS date_id,
+        CASE WHEN medication_id % 13 != 0 THEN total_packages END AS total_packages,
+        CASE WHEN medication_id % 17 = 0 THEN medication_id + 1 WHEN medication_id % 19 != 0 THEN medication_id END
+        AS medication_id) FROM fact""",
     "masked": f"""SELECT medication_id, year, month, ingredient, atc_code,
         regexp_replace(package_code, '^([0-9]{{2}})[0-9]+([0-9]{{2}})$', '\\1***\\2') AS package_code_masked,
         {_key('package_label')} AS package_label_masked, total_packages, total_amount,
@@ -503,6 +508,23 @@ def statements() -> dict[str, str]:
         "blank_cells": """SELECT conv_id, turn, blank, CASE WHEN NOT blank AND trim(text) != ''
             THEN cast(length(text) as int) END AS chars
             FROM conversations, (SELECT unnest([false, true]) AS blank)""",
+        "dq_fact_sparse": """SELECT 'not_null_fact_id' AS "check", count(*) - count(fact_id) AS violations
+            FROM fact_sparse UNION ALL SELECT 'not_null_date_id', count(*) - count(date_id) FROM fact_sparse
+            UNION ALL SELECT 'not_null_medication_id', count(*) - count(medication_id) FROM fact_sparse
+            UNION ALL SELECT 'not_null_weather_id', count(*) - count(weather_id) FROM fact_sparse
+            UNION ALL SELECT 'not_null_sunshine_id', count(*) - count(sunshine_id) FROM fact_sparse
+            UNION ALL SELECT 'not_null_total_packages', count(*) - count(total_packages) FROM fact_sparse
+            UNION ALL SELECT 'positive_total_packages', count(*) FROM fact_sparse WHERE total_packages <= 0
+            UNION ALL SELECT 'unique_fact_id', count(*) FROM (
+            SELECT fact_id FROM fact_sparse WHERE fact_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+            UNION ALL SELECT 'relationship_medication_id', count(*) FROM fact_sparse
+            WHERE medication_id NOT IN (SELECT medication_id FROM dim_med )""",
+        "headers_by_file": """SELECT o_orderpriority || '-hourly.csv' AS file, max(o_orderkey) + 5 AS header,
+            d AS year, d + 2 AS day, d + 11 AS humidity
+            FROM (SELECT *, cast(left(o_orderpriority, 1) as int) AS d FROM orders) GROUP BY o_orderpriority, d""",
+        "roles_by_file": """SELECT DISTINCT o_orderpriority || '-hourly.csv' AS file, d AS year, d + 1 AS month,
+            d + 2 AS day, d + 3 AS time_utc
+            FROM (SELECT *, cast(left(o_orderpriority, 1) as int) AS d FROM orders)""",
         # files
         "quoted_breaks": f"""SELECT year, month, cast(month_date as varchar) AS month_date, ingredient,
             {samples.TORN_PACKAGE} AS package, persons, prescriptions, packages_count,

@@ -168,6 +168,11 @@ def _spelled(headers: dict[str, list[str]], which: int) -> list[str]:
     return [spellings[min(which, len(spellings) - 1)] for spellings in headers.values()]
 
 
+def spelled_weather(which: int) -> list[str]:
+    """The weather headers in one of their spellings."""
+    return _spelled(WEATHER_HEADERS, which)
+
+
 def _header_rows(files: DataFrame, rows: list[tuple[int, list[str]]]) -> DataFrame:
     literal = F.array(
         *[

@@ -1044,6 +1044,47 @@ def blank_cells(w):
     return both.select("conv_id", "turn", "blank", F.length(text.text_or_null(cell)).alias("chars"))
 
 
+@query
+def dq_fact_sparse(w):
+    """The declared tests of the sales fact on rows that lack keys, sums and parents."""
+    medications = staged(w.dim_medications)
+    fact = gold.fact_medication_sales(medications, w.dim_weather, w.dim_sunshine)
+    key = F.col("medication_id")
+    lacking = {"fact_id": 7, "date_id": 11, "total_packages": 13}
+    sparse = fact.select(
+        *[F.when(key % lacking[c] != 0, F.col(c)).alias(c) if c in lacking else F.col(c) for c in fact.columns if c != "medication_id"],
+        F.when(key % 17 == 0, key + 1).when(key % 19 != 0, key).alias("medication_id"),
+    )
+    return quality.fact_checks(staged(sparse), medications)
+
+
+def _shifted(orders: DataFrame, cells: list, place) -> DataFrame:
+    """Rows of sheets in which every file has another number of columns before the known ones."""
+    ahead = F.array_repeat(F.col("o_totalprice").cast("string"), F.substring("o_orderpriority", 1, 1).cast("int"))
+    row = F.concat(ahead, F.array(*[c if not isinstance(c, str) else F.lit(c) for c in cells]))
+    return orders.select(F.concat("o_orderpriority", F.lit("-hourly.csv")).alias("file"), F.lit(0).alias("sheet"), place.alias("place"), row.alias("cells"))
+
+
+@query
+def headers_by_file(w):
+    """Headers at another depth and another column in every file."""
+    orders = w.table("orders")
+    tops = orders.groupBy("o_orderpriority").agg((F.max("o_orderkey") + 5).alias("place"), F.min("o_totalprice").alias("o_totalprice"))
+    names = samples.spelled_weather(1)
+    notes = _shifted(orders, ["note"], F.col("o_orderkey"))
+    found = grids.find_headers(notes.unionByName(_shifted(tops, names, F.col("place"))))
+    return found.select("file", "header", *[F.col(f"columns.{c}").alias(c) for c in ("year", "day", "humidity")])
+
+
+@query
+def roles_by_file(w):
+    """Columns told by their values, in another place in every file."""
+    day, hour = F.col("o_orderdate"), F.concat((F.col("o_orderkey") % 24).cast("string"), F.lit(":00"))
+    parts = [F.year(day), F.month(day), F.dayofmonth(day)]
+    cells = [*[p.cast("string") for p in parts], hour]
+    return grids.infer_roles(_shifted(w.table("orders"), cells, F.col("o_orderkey")))
+
+
 # ---- files ------------------------------------------------------------------
 
 
