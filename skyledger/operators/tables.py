@@ -172,11 +172,13 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | No
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take the source's values, other rows of both sides stay.
 
-    The source, of one row per key, is read once: of each key's rows the source's is first.
+    The target loses the source's keys by an anti-join: while the source, of one row per key,
+    is small, Spark sends its keys to the target's tasks and nothing else moves. The source is
+    read twice, so it should be a staged table. Null keys match null keys.
     """
-    both = target.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)))
-    newest = F.max("_new").over(W.partitionBy(*keys))
-    return both.withColumn("_any", newest).filter("_new or not _any").drop("_new", "_any")
+    replaced = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = [target[k].eqNullSafe(replaced[f"_new_{k}"]) for k in keys]
+    return target.join(replaced, same, "left_anti").unionByName(source)
 
 
 def lake_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:

@@ -18,8 +18,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators.tables import one_per_key
-from skyledger.session import children, remove, staged
+from skyledger.operators.tables import merge_rows, one_per_key
+from skyledger.session import children, remove, staged_for
 
 MARK = "skyledger.versions"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -161,24 +161,26 @@ def upsert(
     anti-join with the new rows' keys, a staged table of known size, so the old rows are not
     shuffled while the load is small.
     """
-    spark = df.sparkSession
-    source = staged(one_per_key(df, keys, order))
+    with staged_for(one_per_key(df, keys, order)) as source:
+        return _upsert_staged(source, name, keys, partition)
+
+
+def _upsert_staged(source: DataFrame, name: str, keys: Sequence[str], partition: str | None) -> str:
+    spark = source.sparkSession
     fresh = not is_versioned(spark, name)
+    done = "created" if fresh else "merged"
     if source.isEmpty():
         ensure(source, name, partition)
-        return "created" if fresh else "merged"
+        return done
     if fresh:
         publish(source, name, partition)
-        return "created"
+        return done
     target = spark.table(name)
     if partition is not None:
         values = source.select(partition).distinct()
         target = target.join(values, target[partition].eqNullSafe(values[partition]), "left_semi")
-    replaced = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    same = [target[k].eqNullSafe(replaced[f"_new_{k}"]) for k in keys]
-    kept = target.join(replaced, same, "left_anti")
-    publish(kept.select(source.columns).unionByName(source), name, partition)
-    return "merged"
+    publish(merge_rows(target.select(source.columns), source, keys), name, partition)
+    return done
 
 
 def incremental(df: DataFrame, name: str, unique_key: str, partition: str | None = None) -> str:

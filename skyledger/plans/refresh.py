@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import versions
 from skyledger.operators.joins import month_side
-from skyledger.session import staged
+from skyledger.session import staged_for
 
 MONTH = "date_id"
 
@@ -42,21 +42,28 @@ def refresh(
     that left the input, or that the model gives no row for any more, leave the table. The
     state is published last: after a failure the same months are computed once more.
     """
+    state = month_state(source, month, settings).filter(f"{MONTH} is not null")
+    with staged_for(state) as now:
+        return _refresh(source, month, model, name, now)
+
+
+def _refresh(
+    source: DataFrame, month: Column, model: Callable[[DataFrame], DataFrame], name: str, now: DataFrame
+) -> list[str]:
     spark, states = source.sparkSession, f"{name}_months"
-    keyed = source.withColumn("_month", month)
-    now = staged(month_state(source, month, settings).filter(f"{MONTH} is not null"))
     versions.ensure(now, states, None)
-    before = spark.table(states).select(MONTH, *[F.col(c).alias(f"old_{c}") for c in now.columns if c != MONTH])
     parts = [c for c in now.columns if c != MONTH]
-    same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in parts]
-    unchanged = same[0] & same[1] & same[2]
+    before = spark.table(states).select(MONTH, *[F.col(c).alias(f"old_{c}") for c in parts])
+    unchanged = F.lit(True)
+    for c in parts:
+        unchanged = unchanged & F.col(c).eqNullSafe(F.col(f"old_{c}"))
     # One row per month, of which there are 2,412 at most.
     months = now.join(before, MONTH, "full").filter(~unchanged)
     found = {r[0]: r[1] for r in months.select(MONTH, F.col("rows").isNotNull()).collect()}
-    have = versions.is_versioned(spark, name)
-    if not found and have:
+    if not found and versions.is_versioned(spark, name):
         return []
-    changed = spark.createDataFrame([(m,) for m, here in found.items() if here], f"_changed string")
+    changed = spark.createDataFrame([(m,) for m, here in found.items() if here], "_changed string")
+    keyed = source.withColumn("_month", month)
     rows = keyed.join(month_side(changed), F.col("_month") == F.col("_changed"), "left_semi").drop("_month")
     versions.publish(model(rows), name, MONTH, gone=found)
     versions.publish(now, states)

@@ -198,3 +198,13 @@ def test_a_failed_refresh_is_repeated(spark, model, monkeypatch):
     monkeypatch.undo()
     assert run(days(spark, m202101=1, m202102=5)) == ["202102"]
     assert months(spark, name) == {"202101": 1.0, "202102": 5.0}
+
+
+def test_no_staging_is_left(spark, database, model):
+    run, _ = model
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = children(spark, root)
+    versions.upsert(rows(spark, *FIRST), f"{database}.t", ["k"], "year")
+    versions.upsert(rows(spark, (2, "B", 2021)), f"{database}.t", ["k"], "year")
+    run(days(spark, m202101=1))
+    assert children(spark, root) == before
