@@ -44,11 +44,13 @@ def _letters() -> np.ndarray:
 
 
 def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of all texts one after another, words and texts parted by 0; and each text's end."""
+    """A 0, then the letters of all texts one after another, words and texts parted by 0; and the
+    place in this list from which on an n-gram belongs to the next text."""
     joined = "\n".join(t or "" for t in texts)
     letters = per_process("letters", _letters)[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
     sizes = np.array([len(t or "") + 1 for t in texts], np.int64)
-    return np.append(letters, np.uint32(0)), np.cumsum(sizes)
+    gap = np.zeros(1, np.uint32)
+    return np.concatenate((gap, letters, gap)), np.cumsum(sizes)
 
 
 def ngrams(letters: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +135,7 @@ def fit(docs: DataFrame, order: int = ORDER, slots: int = SLOTS, count: int = PR
 def decide(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray]:
     """Language and score of each text: the highest corrected share of its n-grams."""
     letters, ends = _points(texts)
-    spoken = np.diff(np.append(0, np.append(0, np.cumsum(letters > 0))[ends])) > 0
+    spoken = np.diff(np.append(0, np.cumsum(letters > 0)[ends])) > 0
     langs, false = model["langs"], model["false"]
     hits = np.zeros((max(1, len(langs)), len(texts)))
     code, places = ngrams(letters, model["order"])
@@ -161,7 +163,10 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; all its columns stay.
 
     A null text, or one without a letter, is ``und`` with score 0; letters outside every
-    filter give score 0 and the first language. Columns of the two names are replaced.
+    filter give score 0 and the first language, and so do ties. Texts are read whole. Repeated
+    rows get equal answers, rows without an id are told as all others; without languages to
+    know everything is ``und``. An empty table gives no rows. Columns of the two names are
+    replaced.
     """
     spark = docs.sparkSession
     # The slot array has a fixed size, whatever the corpus.

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import audit, merkle, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, winnowing
+from skyledger.llm import audit, langid, merkle, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, winnowing
 
 
 @pytest.fixture(scope="module")
@@ -303,3 +303,59 @@ def test_equal_scores_go_to_the_smaller_ids(spark):
     for shard in (4096, 40):
         got = neighbours.nearest(frame, frame.where("vec_id = 50"), shard=shard).orderBy("rank").collect()
         assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+
+
+# ---- language ID against plain sets ----------------------------------------------
+
+
+def trigrams(text):
+    letters = [c.lower()[0] if c.isalpha() else "" for c in f" {text or ''} "]
+    return [tuple(letters[i : i + 3]) for i in range(len(letters) - 2) if letters[i + 1] and (letters[i] or letters[i + 2])]
+
+
+def plain_sets(rows):
+    """Per language the trigrams that it contains, straight from the definition."""
+    counts = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(trigrams(text))
+    rates = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = Counter()
+    for rate in rates.values():
+        for g, r in rate.items():
+            top[g] = max(top[g], r)
+    return {lang: {g for g, r in rate.items() if r >= langid.RATIO * top[g] and r >= langid.RARE} for lang, rate in rates.items()}
+
+
+def test_language_filters_answer_as_plain_sets_do(spark, docs, data):
+    sets = plain_sets([(text, lang) for _, text, lang, *_ in data])
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs)).collect()
+    for row in found:
+        grams = trigrams(row.text)
+        if not any(c.isalpha() for c in row.text or ""):
+            assert (row.lang_pred, row.score) == (langid.UNKNOWN, 0.0)
+            continue
+        share = {lang: sum(g in known for g in grams) / len(grams) for lang, known in sets.items()}
+        best = max(share.values())
+        assert abs(row.score - best) < 0.001 and share[row.lang_pred] > best - 0.001
+
+
+def test_language_does_not_depend_on_neighbours(data):
+    model = {"langs": ["x"], "slots": np.zeros((1, 1 << 16), np.uint64), "false": np.zeros(1), "order": 3, "probes": 2}
+    code, _ = langid.ngrams(langid._points(["ab cd"])[0])
+    for slot in langid.probes(code, 1 << 16, 2):
+        model["slots"][0, slot] = 1
+    texts = ["ab cd", "zz", "", None, "ab cd", "ab", "xx ab cd"]
+    alone = [(langs[0], score[0]) for langs, score in (langid.decide([t], model) for t in texts)]
+    langs, score = langid.decide(texts, model)
+    assert alone == list(zip(langs, score)) and score[0] == score[4] > 0.999999 and score[1] == 0.0
+
+
+def test_language_of_repeated_rows_and_no_rows(spark, docs):
+    model = langid.fit(docs)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    assert found.count() == docs.count()
+    assert len({(r.lang_pred, r.score) for r in found.where("doc_id = 1005").collect()}) == 1
+    assert langid.identify(corpus.empty(spark), model).collect() == []
+    nothing = langid.identify(docs.select("doc_id", "text"), langid.fit(corpus.empty(spark)))
+    assert {(r.lang_pred, r.score) for r in nothing.collect()} == {(langid.UNKNOWN, 0.0)}
