@@ -14,6 +14,7 @@ from skyledger.session import remove, shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_AT_ONCE = 500
+BYTES_AT_ONCE = 4 << 20
 NO_ID = -(1 << 63)  # stands for a null doc_id where rows pass through pandas
 SAFE = "_llm_"  # prefix of helper columns, so that extra input columns cannot clash
 
@@ -24,6 +25,13 @@ def light(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
 
 
+def lighter(spark: SparkSession) -> None:
+    """Also bounds what is handed over by its size: rows of whole batches of texts are large,
+    and both sides hold a handed-over part as a whole."""
+    light(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_AT_ONCE))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     light(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -31,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import discard, staged, table, tidy
+from skyledger.llm.common import discard, lighter, staged, table, tidy
 from skyledger.llm.suffixes import smallest_owner
 
 LENGTH = 50
 BATCH = 1 << 20  # bytes of text in a batch
 NAMES = 1_000_000  # names a place of step 2 gets, about
-PLACE = 1 << 19  # bytes of segments a place of step 3 gets, about
+PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
 PART = 1 << 20  # bytes of different segments that are sorted at once
 
 FIRST_GRAM, SECOND_GRAM = 20, 16
@@ -421,7 +421,7 @@ def _finish(length: int, places: int):
     return finish
 
 
-def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE) -> DataFrame:
     """What of every text repeats a string of ``length`` bytes of a document with a smaller doc_id.
 
     One row per row of ``docs``: doc_id, text_key (xxhash64 of doc_id and text), n_bytes,
@@ -430,6 +430,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     remove each other's strings. A row without doc_id is smaller than none: nothing is
     removed for it or because of it. An empty table gives no rows; other columns are left out.
     """
+    lighter(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("text_key"), text)
     packed = staged(batches(plain.where("doc_id is not null")))
@@ -445,7 +446,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     windows = opened.agg(F.sum("windows")).first()[0] or 0
     # A segment has about half as many windows as a name's window has k-grams, and length - 1 bytes more.
     swell = 1 + 2 * (length - 1) / max(1, length - SECOND_GRAM + 2)
-    spots = max(1, int(windows * swell) // PLACE + 1)
+    spots = max(1, int(windows * swell) // place + 1)
     met = send_segments(opened, length, spots).repartition(min(spots, 4000), "place").groupBy("place").applyInPandas(tidy(_answer_segments(length)), "batch long, place long, answer binary")
     per_batch = met.groupBy("batch").agg(F.collect_list(F.struct("place", "answer")).alias("answers"))
     cut = opened.join(per_batch, "batch", "left").mapInPandas(tidy(_finish(length, spots)), RESULT)
@@ -460,6 +461,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 STAGE_LENGTH = 101  # bytes; no passage of more than fifty words is shorter
+STAGE_PLACE = 1 << 19  # smaller places: workers of earlier stages live on beside this one
 
 
 def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
@@ -468,7 +470,7 @@ def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
     A span is cut at whole characters. A document of which nothing but white space is left
     goes; texts without a repeat, null and empty ones among them, stay as they are.
     """
-    spans = repeated(docs, length).where("n_removed > 0").select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"), "starts", "ends")
+    spans = repeated(docs, length, STAGE_PLACE).where("n_removed > 0").select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"), "starts", "ends")
     # Repeated rows have equal spans.
     spans = spans.dropDuplicates(["_llm_id", "_llm_key"]).withColumnsRenamed({"starts": "_llm_starts", "ends": "_llm_ends"})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
