@@ -359,3 +359,43 @@ def test_language_of_repeated_rows_and_no_rows(spark, docs):
     assert langid.identify(corpus.empty(spark), model).collect() == []
     nothing = langid.identify(docs.select("doc_id", "text"), langid.fit(corpus.empty(spark)))
     assert {(r.lang_pred, r.score) for r in nothing.collect()} == {(langid.UNKNOWN, 0.0)}
+
+
+# ---- what evolution gains in packing ---------------------------------------------
+
+
+def triplets(seed: int, count: int = 120, capacity: int = 2048) -> list[int]:
+    """Full bins cut in three: best fit puts the largest together and wastes the rest."""
+    rng, size = np.random.default_rng(seed), []
+    for _ in range(count):
+        a = int(rng.integers(520, 900))
+        b = int(rng.integers(520, min(1000, capacity - a - 500)))
+        size += [a, b, capacity - a - b]
+    return sorted(size, reverse=True)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crossover_gains_bins_over_best_fit(seed):
+    size = triplets(seed)
+    plain = len(packing.best_fit(list(range(len(size))), size, [], 2048))
+    few = packing.evolve(size, [], seed, 2048, packing.GENERATIONS, packing.POPULATION)
+    more = packing.evolve(size, [], seed, 2048, 20, 6)
+    assert plain > len(few) > len(more) >= 120
+    for bins in (few, more):
+        assert sorted(i for b in bins for i in b) == list(range(len(size)))
+        assert max(sum(size[i] for i in b) for b in bins) <= 2048
+
+
+def test_islands_and_migration_gain_bins(spark):
+    """Two shards, two islands each, two epochs: fewer bins than best fit on the same shards,
+    and than one island alone in one epoch."""
+    items = [(k, k % 2, n) for k, n in enumerate(triplets(7, 160))]
+    frame = spark.createDataFrame(items, "key long, shard int, length int")
+    count = lambda **s: packing._pack(frame, 2, 2048, generations=3, population=3, **s).select("shard", "bin").distinct().count()
+    plain = 0
+    for shard in (0, 1):
+        size = [n for _, s, n in items if s == shard]
+        plain += len(packing.best_fit(list(range(len(size))), size, [], 2048))
+    alone, together = count(islands=1, epochs=1), count(islands=2, epochs=2)
+    assert plain > alone >= together >= 160
+    assert together < alone or together <= plain - 4
