@@ -421,7 +421,7 @@ def _finish(length: int, places: int):
     return finish
 
 
-def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE) -> DataFrame:
+def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE, batch: int = BATCH) -> DataFrame:
     """What of every text repeats a string of ``length`` bytes of a document with a smaller doc_id.
 
     One row per row of ``docs``: doc_id, text_key (xxhash64 of doc_id and text), n_bytes,
@@ -433,7 +433,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE) -> DataF
     lighter(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("text_key"), text)
-    packed = staged(batches(plain.where("doc_id is not null")))
+    packed = staged(batches(plain.where("doc_id is not null"), batch))
     volume = packed.agg(F.sum("n_bytes")).first()[0] or 0
     places = max(1, -(-volume // (8 * NAMES)))
     sent = send_names(packed, length, places)
@@ -461,7 +461,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE) -> DataF
 
 
 STAGE_LENGTH = 101  # bytes; no passage of more than fifty words is shorter
-STAGE_PLACE = 1 << 19  # smaller places: workers of earlier stages live on beside this one
+STAGE_PLACE = STAGE_BATCH = 1 << 19  # halves: workers of earlier stages live on beside this one
 
 
 def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
@@ -470,7 +470,7 @@ def without_repeats(docs: DataFrame, length: int = STAGE_LENGTH) -> DataFrame:
     A span is cut at whole characters. A document of which nothing but white space is left
     goes; texts without a repeat, null and empty ones among them, stay as they are.
     """
-    spans = repeated(docs, length, STAGE_PLACE).where("n_removed > 0").select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"), "starts", "ends")
+    spans = repeated(docs, length, STAGE_PLACE, STAGE_BATCH).where("n_removed > 0").select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"), "starts", "ends")
     # Repeated rows have equal spans.
     spans = spans.dropDuplicates(["_llm_id", "_llm_key"]).withColumnsRenamed({"starts": "_llm_starts", "ends": "_llm_ends"})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
