@@ -7,6 +7,7 @@ import inspect
 import sys
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,6 +135,7 @@ def tidy(function: Callable) -> Callable:
     workers live on, and what one stage's arrays left behind would add to the next one's."""
 
     def release() -> None:
+        pa.default_memory_pool().release_unused()  # what was handed over stays there otherwise
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
             trim(0)

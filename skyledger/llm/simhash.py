@@ -400,7 +400,7 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
         several = F.min("label").over(of_token) != F.max("label").over(of_token)
         labelled = labelled.withColumn("several", several).where("several").drop("several")
     meetings = _meetings(labelled, chunk).repartition("place").sortWithinPartitions("place")
-    pairs = staged(meetings.mapInArrow(_candidates(similarity), "a long, b long").distinct())
+    pairs = staged(meetings.mapInArrow(tidy(_candidates(similarity)), "a long, b long").distinct())
     links_ = verified(pairs)
     return components(links_ if found is None else found.unionByName(links_))
 
