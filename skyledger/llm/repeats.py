@@ -38,6 +38,7 @@ LENGTH = 50
 BATCH = 1 << 20  # bytes of text in a batch
 NAMES = 1_000_000  # names a place of step 2 gets, about
 PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
+PLACES_A_TASK = 3
 PART = 1 << 20  # bytes of different segments that are sorted at once
 
 FIRST_GRAM, SECOND_GRAM = 20, 16
@@ -447,7 +448,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE, batch: i
     # A segment has about half as many windows as a name's window has k-grams, and length - 1 bytes more.
     swell = 1 + 2 * (length - 1) / max(1, length - SECOND_GRAM + 2)
     spots = max(1, int(windows * swell) // place + 1)
-    met = send_segments(opened, length, spots).repartition(min(spots, 4000), "place").groupBy("place").applyInPandas(tidy(_answer_segments(length)), "batch long, place long, answer binary")
+    # A few places a task: each is settled on its own, and starting a task costs more than most.
+    met = send_segments(opened, length, spots).repartition(min(-(-spots // PLACES_A_TASK), 4000), "place").groupBy("place").applyInPandas(tidy(_answer_segments(length)), "batch long, place long, answer binary")
     per_batch = met.groupBy("batch").agg(F.collect_list(F.struct("place", "answer")).alias("answers"))
     cut = opened.join(per_batch, "batch", "left").mapInPandas(tidy(_finish(length, spots)), RESULT)
     none = F.array().cast("array<int>")
