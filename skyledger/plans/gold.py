@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,14 @@ def dim_date(
     return calendar(dates.month_series(spark, start, months))
 
 
-def dim_medications(silver: DataFrame, sep: str = "|", algo: str = "md5") -> DataFrame:
-    """Sales per month and product, products split into code, name and label."""
+def dim_medications(
+    silver: DataFrame, sep: str = "|", algo: str = "md5", product: Sequence[str] = ()
+) -> DataFrame:
+    """Sales per month and product, products split into code, name and label.
+
+    ``product`` names columns of ``silver`` that the package code tells already: rows that lie
+    together by them are summed where they are. They are left out of the result.
+    """
     parts = silver.filter(F.col("ingredient_name").isNotNull()).select(
         "year",
         "month",
@@ -59,13 +66,15 @@ def dim_medications(silver: DataFrame, sep: str = "|", algo: str = "md5") -> Dat
         word("ingredient_name", 1).alias("atc_code"),
         word("package_name", 1).alias("package_code"),
         F.coalesce(words_from("package_name", 2), F.lit("")).alias("package_label"),
+        *product,
         *MEDICATION_SUMS,
     )
     # A sum that outgrows its type is null and found by a gate, it does not end the build.
-    summed = parts.groupBy(*MEDICATION_KEYS).agg(*[F.try_sum(c).alias(c) for c in MEDICATION_SUMS])
+    summed = parts.groupBy(*MEDICATION_KEYS, *product).agg(*[F.try_sum(c).alias(c) for c in MEDICATION_SUMS])
     return summed.select(
         surrogate_key(*MEDICATION_KEYS, sep=sep, algo=algo, required=True).alias("medication_id"),
-        "*",
+        *MEDICATION_KEYS,
+        *MEDICATION_SUMS,
     )
 
 

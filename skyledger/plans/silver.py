@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,17 @@ WEATHER_MEASURES = [
 
 
 def medications_cleaned(
-    bronze: DataFrame, first_year: int = FIRST_SALES_YEAR, today: dt.date | None = None
+    bronze: DataFrame,
+    first_year: int = FIRST_SALES_YEAR,
+    today: dt.date | None = None,
+    product: Sequence[str] = (),
 ) -> DataFrame:
     """Sales per year, month, ingredient and package.
 
+    ``product`` names columns of ``bronze`` that the package tells already, say the key by
+    which it was joined. They are kept and split no group, but rows that were brought
+    together by them are summed where they are, without another shuffle.
+
     Amounts may be doubles or decimals. Each row's amount is rounded to cents, halves up, and
     sums are exact: decimals as they are, doubles as whole cents while they are small. A total
     that no DECIMAL(38,2) can hold is null, which ``quality.amount_checks`` counts.
@@ -55,12 +63,13 @@ def medications_cleaned(
         F.col("month").cast("int").alias("month"),
         F.trim(F.upper("ingredient")).alias("ingredient_name"),
         F.trim("package").alias("package_name"),
+        *product,
         F.col("packages_count").cast("double").alias("packages_count"),
         "prescriptions",
         "persons",
         *[c for name in AMOUNTS for c in spelled(name)],
     )
-    return cleaned.groupBy(*MEDICATION_KEYS).agg(
+    return cleaned.groupBy(*MEDICATION_KEYS, *product).agg(
         settle(F.sum("packages_count"), 0).try_cast("bigint").alias("total_packages"),
         amount("total_amount").alias("total_amount"),
         amount("hk_amount").alias("health_insurance_amount"),

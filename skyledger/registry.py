@@ -809,7 +809,8 @@ def bucketed_join(w):
     fact, dim = _stored(w, "fact"), _stored(w, "dim")
     bucketed = {"bucket_by": "medication_id", "buckets": 8}
     medications = tables.materialize(w.dim_medications, dim, **bucketed)
-    sales = tables.materialize(w.fact.select("medication_id", "total_persons"), fact, **bucketed)
+    whole = gold.fact_medication_sales(medications, w.dim_weather, w.dim_sunshine)
+    sales = tables.materialize(whole.select("medication_id", "total_persons"), fact, **bucketed)
     joined = sales.join(medications.select("medication_id", "ingredient"), "medication_id")
     result = staged(joined.groupBy("ingredient").agg(F.sum("total_persons").alias("persons")))
     for name in (fact, dim):
@@ -915,7 +916,7 @@ def surrogate_keys_wide(w):
 @query
 def fact_wide_keys(w):
     """The fact and its products under wide keys, joined by them."""
-    medications = gold.dim_medications(w.medications_cleaned, algo="wide")
+    medications = staged(w.products("wide"))
     fact = gold.fact_medication_sales(medications, w.dim_weather, w.dim_sunshine)
     names = medications.select("medication_id", "ingredient", "package_code")
     return fact.join(names, "medication_id").select(
