@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import components, own_ids, staged, table, tidy, whole_ids
+from skyledger.llm.common import components, discard, own_ids, staged, table, tidy, whole_ids
 
 SHINGLE = 4
 BITS = 4
@@ -236,7 +236,7 @@ STAGE_SIMILARITY = 0.8
 FULL = np.iinfo(np.int64).max
 SLOT_BITS = 20  # of a shingle's hash: the table of counts has a fixed size
 MEETING = 4096  # texts of a shingle that meet in one task at a time
-STARS = 2  # rounds in which large meetings are thinned by a leader
+STARS = 1  # rounds in which large meetings are thinned by a leader, after the fingerprints
 ROUNDING = 1e-6
 
 
@@ -361,10 +361,25 @@ def _candidates(similarity: float):
     return run
 
 
+def fingerprint_pairs(texts: DataFrame, bits: int = BITS) -> DataFrame:
+    """Pairs (a, b) of texts (key, fp) whose fingerprints are linked within ``bits`` bits.
+
+    A fingerprint's texts are paired with the first one of them, and the first ones of linked
+    fingerprints with each other, so a text is in about two pairs, however many are alike.
+    """
+    firsts = staged(texts.groupBy("fp").agg(F.min("key").alias("first")))
+    same = texts.join(firsts, "fp").where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    left = firsts.select(F.col("fp").alias("a"), F.col("first").alias("x"))
+    right = firsts.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    near = links(firsts, bits).join(left, "a").join(right, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return same.unionByName(near).distinct()
+
+
 def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFrame:
-    """``node``, ``root``: the classes of the texts (key, shingles) that are linked to another.
+    """``node``, ``root``: the classes of the texts (key, fp, shingles) that are linked to another.
 
-    Any two texts of ``similarity`` share one of their first shingles, in one order of all
+    Texts with linked fingerprints are candidates first; those of ``similarity`` are links. An
+    exact search follows for pairs that fingerprints miss. Any two texts of ``similarity`` share one of their first shingles, in one order of all
     shingles, and the first one they share leaves enough after it in both. So every pair of
     that similarity is a candidate, and every candidate is verified on the whole sets. Pairs
     within a class already found are not compared again: in places with many texts a leader's
@@ -380,10 +395,22 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
     def verified(pairs: DataFrame) -> DataFrame:
         return pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
 
+    held = []  # tables that nothing reads once the classes are known
+
+    def hold(rows: DataFrame) -> DataFrame:
+        held.append(staged(rows))
+        return held[-1]
+
+    found = hold(verified(hold(fingerprint_pairs(sets.select("key", "fp")))))
     met = first_shingles(sets, shingle_ranks(sets), similarity)
     of_token = Window.partitionBy("token")
-    met = staged(met.withColumn("rows", F.count(F.lit(1)).over(of_token)).where("rows > 1"))
-    found, labelled = None, met.withColumn("label", F.col("key"))
+    met = hold(met.withColumn("rows", F.count(F.lit(1)).over(of_token)).where("rows > 1"))
+
+    def labels() -> DataFrame:
+        roots = components(found)
+        return hold(met.join(roots, met["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key")).drop("node", "root"))
+
+    labelled = labels()
     large = met.where(F.col("rows") > SMALL)
     for seed in range(0 if large.isEmpty() else STARS):
         row = F.struct(F.xxhash64("key", F.lit(seed)).alias("by"), "key", "label", "at", "n")
@@ -392,24 +419,23 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
         led = led.where(F.col("label") != F.col("lead.label"))
         enough = F.least(F.col("n") - F.col("at"), F.col("lead.n") - F.col("lead.at")) >= similarity / (1 + similarity) * (F.col("n") + F.col("lead.n")) - ROUNDING
         pairs = led.where(enough).select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct()
-        links_ = verified(pairs)
-        found = staged(links_ if found is None else found.unionByName(links_))
-        roots = components(found)
-        labelled = staged(met.join(roots, met["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key")).drop("node", "root"))
-    if found is not None:
-        several = F.min("label").over(of_token) != F.max("label").over(of_token)
-        labelled = labelled.withColumn("several", several).where("several").drop("several")
+        found = hold(found.unionByName(verified(hold(pairs))))
+        labelled = labels()
+    several = F.min("label").over(of_token) != F.max("label").over(of_token)
+    labelled = labelled.withColumn("several", several).where("several").drop("several")
     meetings = _meetings(labelled, chunk).repartition("place").sortWithinPartitions("place")
-    pairs = staged(meetings.mapInArrow(tidy(_candidates(similarity)), "a long, b long").distinct())
-    links_ = verified(pairs)
-    return components(links_ if found is None else found.unionByName(links_))
+    pairs = hold(meetings.mapInArrow(tidy(_candidates(similarity)), "a long, b long").distinct())
+    roots = components(found.unionByName(verified(pairs)))
+    for done in held:
+        discard(done)
+    return roots
 
 
 def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, chunk: int = MEETING) -> DataFrame:
     """``docs`` with one document of every near-duplicate class, all columns kept.
 
     Texts are linked when the Jaccard similarity of their distinct shingles is at least
-    ``similarity``; no such pair is missed. Of a class the smallest doc_id stays (a null one
+    ``similarity``; SimHash fingerprints find most pairs, and no such pair is missed. Of a class the smallest doc_id stays (a null one
     only where there is no other), of repeated rows one. Null, empty and blank texts are one
     class. An empty table gives no rows.
     """
@@ -418,14 +444,19 @@ def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float =
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [np.unique((hashes(t, width) >> np.uint64(32)).astype("<u4")).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "shingles": sets})
+            fps, sets = [], []
+            for text in batch["text"]:
+                values = hashes(text, width)
+                fps.append(fingerprint(values))
+                sets.append(np.unique((values >> np.uint64(32)).astype("<u4")).tobytes())
+            yield pd.DataFrame({"key": batch["key"], "fp": np.array(fps, np.uint64).view(np.int64), "shingles": sets})
 
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
     ids = marked_docs.select(F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
-    sets = staged(ids.mapInPandas(tidy(mark), "key long, shingles binary").dropDuplicates(["key"]))
+    sets = staged(ids.mapInPandas(tidy(mark), "key long, fp long, shingles binary").dropDuplicates(["key"]))
     texts = staged(marked_docs.select(F.col("_llm_key").alias("key"), own.alias("doc_id")).groupBy("key").agg(F.min("doc_id").alias("first")))
     roots = similar(sets, similarity, chunk)
+    discard(sets)
     named = texts.join(roots, texts["key"] == roots["node"], "left").withColumn("root", F.coalesce("root", "key"))
     best = named.groupBy("root").agg(F.min(F.struct("first", "key")).alias("stay"))
     stay = best.select(F.col("stay.first").alias("_llm_first"), F.col("stay.key").alias("_llm_stay"))

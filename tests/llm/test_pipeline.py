@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from skyledger.llm import mixing, queries, simhash
+from skyledger.llm import mixing, queries, repeats, simhash
 
 
 @pytest.fixture(scope="module")
@@ -155,3 +155,26 @@ def test_pairs_at_the_boundary(spark):
             gone.add(i + 1)
     assert 100 <= len(gone) < 400
     assert _kept(spark, texts) == set(range(len(texts))) - gone
+
+
+def test_fingerprints_find_near_copies_first(spark, monkeypatch):
+    """The links of fingerprints alone, without the exact search after them, drop near copies,
+    but not texts that only share a fingerprint."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(400)) for i in range(60)]
+    texts += [t.replace("x399", "x400") for t in texts[:40]]
+    nothing = lambda sets, ranks, similarity: spark.createDataFrame([], "token long, key long, at int, n int")
+    monkeypatch.setattr(simhash, "first_shingles", nothing)
+    assert _kept(spark, texts) == set(range(60))
+    monkeypatch.setattr(simhash, "fingerprint", lambda values: 7)
+    assert _kept(spark, texts) >= set(range(60))
+
+
+def test_passages_are_sorted_in_small_parts(spark, docs, monkeypatch):
+    """The pipeline's stage sorts a quarter at once of what op1 does, with the same spans."""
+    sizes = []
+    plain = repeats.repeated
+    monkeypatch.setattr(repeats, "repeated", lambda *args: sizes.append(args[-1]) or plain(*args))
+    whole = sorted(map(str, plain(docs, 101).collect()))
+    repeats.without_repeats(docs)
+    assert sizes == [repeats.PART // 4]
+    assert sorted(map(str, plain(docs, 101, part=300).collect())) == whole
