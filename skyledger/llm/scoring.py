@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import NO_ID, staged, table, tidy
+from skyledger.llm.common import NO_ID, discard, staged, table, tidy
 from skyledger.llm.repeats import batches, runs, squeeze, thaw, widen
 from skyledger.llm.simhash import LOWER
 
@@ -82,22 +82,39 @@ def _place(keys: np.ndarray, places: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) * np.uint64(places) >> np.uint64(32)).astype(np.int64)
 
 
-def _pack_keys(keys: np.ndarray) -> bytes:
-    return squeeze(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes())
+def _pack(values: np.ndarray) -> bytes:
+    """Packed numbers, the bytes of one weight together: those of a weight are alike."""
+    return squeeze(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
-def _pack_lengths(bits: np.ndarray) -> bytes:
-    """Code lengths in single precision, the bytes of one weight together: the high ones repeat."""
-    return squeeze(bits.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def _open(blob: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(widen(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _open_lengths(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(widen(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<f4").ravel().astype(float)
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
 
 
 def _open_keys(blob: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(widen(blob), "<u8"), dtype=np.uint64)
+    return np.cumsum(_open(blob, "<u8"), dtype=np.uint64)
+
+
+def _pack_counts(counts: np.ndarray) -> bytes:
+    return _pack(counts.astype("<i8"))
+
+
+def _open_counts(blob: bytes) -> np.ndarray:
+    return _open(blob, "<i8")
+
+
+def _pack_lengths(bits: np.ndarray) -> bytes:
+    """Code lengths in single precision."""
+    return _pack(bits.astype("<f4"))
+
+
+def _open_lengths(blob: bytes) -> np.ndarray:
+    return _open(blob, "<f4").astype(float)
 
 
 class Batch:
@@ -155,7 +172,7 @@ def send(packed: DataFrame, places: int, order: int) -> DataFrame:
                 "place": place[starts],
                 "batch": number,
                 "keys": [_pack_keys(keys[s:e]) for s, e in zip(starts, ends)],
-                "counts": [squeeze(counts[s:e].astype("<i8").tobytes()) for s, e in zip(starts, ends)],
+                "counts": [_pack_counts(counts[s:e]) for s, e in zip(starts, ends)],
             }
         )
 
@@ -176,7 +193,7 @@ def send(packed: DataFrame, places: int, order: int) -> DataFrame:
 def _gather(rows: pd.DataFrame) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
     """Sizes of the rows, all distinct keys, each sent key's number, and summed counts."""
     keys = [_open_keys(k) for k in rows["keys"]]
-    counts = np.concatenate([np.frombuffer(widen(c), "<i8") for c in rows["counts"]])
+    counts = np.concatenate([_open_counts(c) for c in rows["counts"]])
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     return [len(k) for k in keys], distinct, inverse, np.bincount(inverse, weights=counts).astype(np.int64)
 
@@ -197,7 +214,7 @@ def word_answers(sent: DataFrame) -> DataFrame:
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         sizes, _, inverse, n = _gather(rows)
         back = np.split(n[inverse], np.cumsum(sizes)[:-1])
-        out = pd.DataFrame({"batch": rows["batch"], "place": rows["place"], "values": [squeeze(x.astype("<i8").tobytes()) for x in back]})
+        out = pd.DataFrame({"batch": rows["batch"], "place": rows["place"], "values": [_pack_counts(x) for x in back]})
         stats = pd.DataFrame({"batch": [-1], "place": [rows["place"].iloc[0]], "values": [b""]})
         out["tokens"], out["different"] = 0, 0
         stats["tokens"], stats["different"] = int(n.sum()), int((n > 0).sum())
@@ -219,8 +236,11 @@ def _small(df: DataFrame, order: int) -> DataFrame:
     return F.broadcast(df) if order <= 1 else df
 
 
-def code_lengths(totals: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, bits): log10 of the chance of each gram's last byte after the bytes before it."""
+def code_lengths(totals: DataFrame, order: int = ORDER, held: list[DataFrame] | None = None) -> DataFrame:
+    """(gram, bits): log10 of the chance of each gram's last byte after the bytes before it.
+
+    The tables of the orders that the result reads are added to ``held``.
+    """
     follow = {order: totals.where("n > 0").select("gram", "n")}
     for j in range(order - 1, -1, -1):
         follow[j] = staged(follow[j + 1].groupBy(_low(F.col("gram"), j + 1).alias("gram")).agg(F.sum("n").alias("n")))
@@ -240,6 +260,9 @@ def code_lengths(totals: DataFrame, order: int = ORDER) -> DataFrame:
             own.select("ctx", "n", "q", (F.col("pq") - F.col("q")).alias("e"), (2 * (F.col("pn") - F.col("ruled_out"))).alias("t"))
         )
 
+    if held is not None:
+        held += [*contexts.values(), *[follow[j] for j in range(order)]]
+
     # A gram that was seen needs its own context only.
     top = contexts[order].select(F.col("ctx").alias("c"), F.col("n").alias("all"))
     seen_ = totals.where("n > 0").join(top, F.shiftright("gram", 8) == F.col("c"))
@@ -312,7 +335,11 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     places = max(1, -(-volume // PLACE))
     sent = staged(send(packed, places, order))
     words = staged(word_answers(sent))
-    lengths = staged(code_lengths(staged(gram_totals(sent)), order))
+    totals = staged(gram_totals(sent))
+    held = [totals]
+    lengths = staged(code_lengths(totals, order, held))
+    for done in held:
+        discard(done)
     tokens, different = words.where("batch = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("different"), F.lit(0))).first()
     fold = F.crc32(F.coalesce(plain["own"].cast("string"), F.lit("")).cast("binary")) % FOLDS
     ends = plain.where(fold != HELD_OUT).count()
@@ -338,7 +365,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
             cost[order:][here] = np.where(batch.last[here], bits[batch.gram_of[here]], 0.0)
         scores = np.add.reduceat(cost, batch.starts)
         names, *_ = batch.words(places)
-        n = line_up(said, lambda x: np.frombuffer(widen(x), "<i8"))
+        n = line_up(said, _open_counts)
         base = dict(zip(names, np.log10((n + 0.5) / floor).tolist()))
         unknown = {w for w, c in zip(names, (n > 0).tolist()) if not c}
         out = []

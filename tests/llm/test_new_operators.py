@@ -399,3 +399,13 @@ def test_islands_and_migration_gain_bins(spark):
     alone, together = count(islands=1, epochs=1), count(islands=2, epochs=2)
     assert plain > alone >= together >= 160
     assert together < alone or together <= plain - 4
+
+
+def test_packed_numbers_come_back_and_are_small():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 50_000, np.uint64))
+    counts = np.random.default_rng(2).geometric(0.4, 50_000) * 3
+    assert np.array_equal(scoring._open_keys(scoring._pack_keys(keys)), keys)
+    assert np.array_equal(scoring._open_counts(scoring._pack_counts(counts)), counts)
+    assert len(scoring._open_keys(scoring._pack_keys(keys[:0]))) == 0
+    plain = repeats.squeeze(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes())
+    assert len(scoring._pack_keys(keys)) < 0.9 * len(plain)
