@@ -236,7 +236,9 @@ STAGE_SIMILARITY = 0.8
 FULL = np.iinfo(np.int64).max
 SLOT_BITS = 20  # of a shingle's hash: the table of counts has a fixed size
 MEETING = 4096  # texts of a shingle that meet in one task at a time
-STARS = 1  # rounds in which large meetings are thinned by a leader, after the fingerprints
+STARS = 8  # rounds in which large meetings are thinned by a leader, after the fingerprints
+WORTH = 0.9  # of the pairs that met: a round that leaves more of them is the last one
+AROUND = 4  # shingles of their own by which leaders of later rounds may be further off
 ROUNDING = 1e-6
 
 
@@ -406,21 +408,30 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
     of_token = Window.partitionBy("token")
     met = hold(met.withColumn("rows", F.count(F.lit(1)).over(of_token)).where("rows > 1"))
 
-    def labels() -> DataFrame:
+    def labels(rows: DataFrame) -> DataFrame:
         roots = components(found)
-        return hold(met.join(roots, met["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key")).drop("node", "root"))
+        return hold(rows.join(roots, rows["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key")).drop("node", "root"))
 
-    labelled = labels()
-    large = met.where(F.col("rows") > SMALL)
+    large = hold(met.where(F.col("rows") > SMALL))
+    before = None
     for seed in range(0 if large.isEmpty() else STARS):
-        row = F.struct(F.xxhash64("key", F.lit(seed)).alias("by"), "key", "label", "at", "n")
-        many = labelled.where(F.col("rows") > SMALL)
+        many = labels(large)
+        # Pairs of different classes that meet, while they are more than the rows and get fewer.
+        of_class = many.groupBy("token", "label").agg(F.count(F.lit(1)).alias("own"))
+        of_place = of_class.groupBy("token").agg(F.sum("own").alias("all"), F.sum(F.col("own") * F.col("own")).alias("alike"))
+        rows, apart = of_place.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("alike")) / 2)).first()
+        if apart <= rows or (before is not None and apart > WORTH * before):
+            break
+        before = apart
+        # Texts with few shingles of their own come first: they are the nearest to the others.
+        far = F.col("at") + F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 + seed * AROUND))
+        row = F.struct(far.alias("far"), F.xxhash64("key", F.lit(seed)).alias("by"), "key", "label", "at", "n")
         led = many.join(many.groupBy("token").agg(F.min(row).alias("lead")), "token")
         led = led.where(F.col("label") != F.col("lead.label"))
         enough = F.least(F.col("n") - F.col("at"), F.col("lead.n") - F.col("lead.at")) >= similarity / (1 + similarity) * (F.col("n") + F.col("lead.n")) - ROUNDING
         pairs = led.where(enough).select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct()
         found = hold(found.unionByName(verified(hold(pairs))))
-        labelled = labels()
+    labelled = labels(met)
     several = F.min("label").over(of_token) != F.max("label").over(of_token)
     labelled = labelled.withColumn("several", several).where("several").drop("several")
     meetings = _meetings(labelled, chunk).repartition("place").sortWithinPartitions("place")

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from skyledger.llm import mixing, queries, repeats, simhash
+from skyledger.llm.common import staged
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +141,30 @@ def test_pairs_inside_a_family_of_templates(spark, chunk):
     assert _kept(spark, texts, chunk=chunk) == set(range(2000))
 
 
+def test_a_group_of_near_copies_meets_by_its_centre(spark, monkeypatch):
+    """Near copies that fingerprints leave apart are not paired with one another, and none is lost."""
+    rng, texts = np.random.default_rng(5), []
+    for i in range(700):
+        words = [f"t{k}" for k in range(150)]
+        for k in rng.choice(150, 1 + i % 4, replace=False).tolist():
+            words[k] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    made = []
+
+    def counted(df):
+        out = staged(df)
+        if out.columns == ["a", "b"]:
+            made.append(out.count())
+        return out
+
+    sets = [set(corpus.shingles(t, 5)) for t in texts]
+    roots = corpus.classes(len(sets), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    monkeypatch.setattr(simhash, "staged", counted)
+    monkeypatch.setattr(simhash, "fingerprint_pairs", lambda rows: spark.createDataFrame([], "a long, b long"))
+    assert _kept(spark, texts) == {min(i for i, r in enumerate(roots) if r == root) for root in set(roots)}
+    assert max(made) < 20 * len(texts)
+
+
 def test_pairs_at_the_boundary(spark):
     """One word of 49 changed leaves 40 of 50 shingles, a similarity of just 0.8; one of 48 leaves less."""
     texts, gone = [], set()
