@@ -346,7 +346,11 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     total, distinct = tokens + ends, different + (ends > 0)
     floor = total + 0.5 * (distinct + 1)
 
-    grams = gram_answers(sent, lengths, places).groupBy("batch").agg(F.collect_list(F.struct("place", "values")).alias("grams"))
+    # Written before they go to their batches: what came to the places is not needed any more.
+    answers = staged(gram_answers(sent, lengths, places))
+    discard(sent)
+    discard(lengths)
+    grams = answers.groupBy("batch").agg(F.collect_list(F.struct("place", "values")).alias("grams"))
     counts = words.where("batch >= 0").groupBy("batch").agg(F.collect_list(F.struct("place", "values")).alias("words"))
     joined = packed.join(grams, "batch", "left").join(counts, "batch", "left")
 

@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import os
 import re
 import zlib
 from collections import Counter
+from urllib.parse import unquote
 
 import corpus
 import numpy as np
@@ -12,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.llm import audit, langid, merkle, mixing, neighbours, packing, repeats, scoring, sharding, simhash, tokens, winnowing
+from skyledger.llm.common import staged
 
 
 @pytest.fixture(scope="module")
@@ -409,3 +412,18 @@ def test_packed_numbers_come_back_and_are_small():
     assert len(scoring._open_keys(scoring._pack_keys(keys[:0]))) == 0
     plain = repeats.squeeze(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes())
     assert len(scoring._pack_keys(keys)) < 0.9 * len(plain)
+
+
+def test_keys_and_code_lengths_go_before_the_scores(spark, docs, monkeypatch):
+    made = []
+
+    def kept(df):
+        made.append(staged(df))
+        return made[-1]
+
+    monkeypatch.setattr(scoring, "staged", kept)
+    found = scoring.score(docs, order=3)
+    there = {tuple(t.columns) for t in made if any(os.path.exists(unquote(f).removeprefix("file://")) for f in t.inputFiles())}
+    assert {("batch", "n_bytes", "blob"), ("batch", "place", "values")} <= there
+    assert not {c for c in there if "keys" in c or "bits" in c}
+    assert found.count() == docs.count()
