@@ -181,6 +181,17 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return target.join(replaced, same, "left_anti").unionByName(source)
 
 
+def touched_rows(target: DataFrame, values: DataFrame) -> DataFrame:
+    """The target's rows in the partitions whose values are in ``values``, its one column.
+
+    The values, however many, should be a staged table, one row per partition: Spark sees their
+    size and sends them to the tasks that read the target. Joined by value instead, all rows of
+    a partition would meet in one task.
+    """
+    (partition,) = values.columns
+    return target.join(values, target[partition].eqNullSafe(values[partition]), "left_semi")
+
+
 def lake_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """A lake table, or None when nothing was ever written there."""
     try:
@@ -240,9 +251,9 @@ def upsert(
         return "filled"
     touched = target
     if partition is not None:
-        # A join finds the touched partitions, however many; dynamic pruning reads only those.
         values = source.select(partition).distinct()
-        touched = target.join(values, target[partition].eqNullSafe(values[partition]), "left_semi")
+        values.write.parquet(f"{staging}/values")
+        touched = touched_rows(target, spark.read.schema(values.schema).parquet(f"{staging}/values"))
     merged = merge_rows(touched, source, keys)
     merged.write.parquet(f"{staging}/merged")
     try:

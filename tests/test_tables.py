@@ -46,6 +46,30 @@ def test_upsert_leaves_other_partitions_alone(spark):
     assert kept() == before != set()
 
 
+def test_a_merge_does_not_bring_a_partition_together(spark, monkeypatch):
+    path, plans, merge = shared_dir(spark), [], tables.merge_rows
+
+    def seen(target, *rest):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        return merge(target, *rest)
+
+    monkeypatch.setattr(tables, "merge_rows", seen)
+    days = spark.range(40000).select(
+        F.col("id").cast("int").alias("staid"), F.lit(1).alias("souid"), F.lit(dt.date(2021, 1, 1)).alias("date"),
+        F.rand(1).alias("ss_raw"), (F.lit(2020) + F.col("id").cast("int") % 2).alias("year"),
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        tables.upsert(days, path, KEYS, "year")
+        tables.upsert(days.filter("year = 2021").withColumn("ss_raw", F.lit(7.0)), path, KEYS, "year")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 1 and "SortMergeJoin" not in plans[0] and "hashpartitioning" not in plans[0]
+    rows = spark.read.parquet(path)
+    assert rows.count() == 40000 and rows.filter("ss_raw = 7").count() == 20000
+
+
 def test_upsert_duplicate_source_and_order(spark):
     path = shared_dir(spark)
     twice = daily(spark, (1, 1, "2020-01-01", 5, 0), (1, 1, "2020-01-01", 9, 1))
