@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators.tables import merge_rows, one_per_key
+from skyledger.operators.tables import merge_rows, one_per_key, touched_rows
 from skyledger.session import children, remove, staged_for
 
 MARK = "skyledger.versions"
@@ -175,11 +175,12 @@ def _upsert_staged(source: DataFrame, name: str, keys: Sequence[str], partition:
     if fresh:
         publish(source, name, partition)
         return done
-    target = spark.table(name)
-    if partition is not None:
-        values = source.select(partition).distinct()
-        target = target.join(values, target[partition].eqNullSafe(values[partition]), "left_semi")
-    publish(merge_rows(target.select(source.columns), source, keys), name, partition)
+    target = spark.table(name).select(source.columns)
+    if partition is None:
+        publish(merge_rows(target, source, keys), name)
+        return done
+    with staged_for(source.select(partition).distinct()) as values:
+        publish(merge_rows(touched_rows(target, values), source, keys), name, partition)
     return done
 
 

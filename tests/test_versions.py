@@ -49,6 +49,26 @@ def test_upsert(spark, database, partition):
     assert stored(spark, name) == expected
 
 
+def test_a_merge_does_not_bring_a_partition_together(spark, database, monkeypatch):
+    name, plans, merge = f"{database}.t", [], versions.merge_rows
+
+    def seen(target, *rest):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        return merge(target, *rest)
+
+    monkeypatch.setattr(versions, "merge_rows", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        many = spark.range(40000).selectExpr("cast(id as int) k", "uuid() v", "cast(2020 + id % 2 as int) year")
+        versions.upsert(many, name, ["k"], "year")
+        versions.upsert(many.filter("year = 2021").withColumn("v", F.lit("new")), name, ["k"], "year")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 1 and "SortMergeJoin" not in plans[0] and "hashpartitioning" not in plans[0]
+    assert spark.table(name).count() == 40000 and spark.table(name).filter("v = 'new'").count() == 20000
+
+
 def test_nothing_is_left_over_and_untouched_partitions_stay(spark, database):
     name = f"{database}.t"
     versions.upsert(rows(spark, *FIRST), name, ["k"], "year")
