@@ -42,14 +42,19 @@ def number(value: Column | str) -> Column:
     return finite(parse_float(normalized(value)))
 
 
+def _with_point(value: Column | str) -> Column:
+    """Tidy text without spaces, with a decimal point for a comma."""
+    return F.replace(F.replace(normalized(value), F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
+
+
 def decimal_comma_number(value: Column | str) -> Column:
     """Like ``number`` with spaces as thousands separators and a decimal comma."""
-    return finite(parse_float(F.translate(normalized(value), ", ", ".")))
+    return finite(parse_float(_with_point(value)))
 
 
 def count_number(value: Column | str) -> Column:
     """A non-negative whole number, halves to even, negative to null."""
-    parsed = parse_float(F.translate(normalized(value), ", ", "."))
+    parsed = parse_float(_with_point(value))
     rounded = F.rint(parsed).try_cast("bigint")
     return F.nullif(F.greatest(rounded, F.lit(-1)), F.lit(-1))
 
@@ -106,7 +111,7 @@ def exact_amount(value: Column | str) -> Column:
     Six places are kept, halves away from zero; text that is no number, or has more than 32
     digits before the point, is null.
     """
-    text = F.regexp_extract(F.translate(normalized(value), ", ", "."), FLOAT_TEXT, 0)
+    text = F.regexp_extract(_with_point(value), FLOAT_TEXT, 0)
     return F.nullif(text, F.lit("")).try_cast(AMOUNT)
 
 

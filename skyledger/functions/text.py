@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # spelled out: the regular-expression flag for Unicode classes is much slower.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 SPACE_RUN = SPACE + "+"
+NO_SPACE = f"[^{SPACE[1:]}"
 SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if re.match(SPACE, chr(c)))
 
 # Cells of printable characters without spaces are tidy already; most numbers are.
@@ -33,7 +34,9 @@ def normalized(value: Column | str) -> Column:
 
 def text_or_null(value: Column | str) -> Column:
     """Blank cells become null; other cells keep their text as it is."""
-    return F.when(normalized(value) != "", as_column(value).cast("string"))
+    text = as_column(value).cast("string")
+    # One character that is no white space tells it; only blank cells are tidied.
+    return F.when(text.rlike(NO_SPACE) | (normalized(text) != ""), text)
 
 
 def stripped(value: Column | str) -> Column:
