@@ -243,7 +243,7 @@ ROUNDING = 1e-6
 
 
 def jaccard(a: bytes, b: bytes) -> float:
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
@@ -254,8 +254,8 @@ def shingle_ranks(sets: DataFrame) -> np.ndarray:
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros(1 << SLOT_BITS, np.int64)
         for part in parts:
-            values = np.frombuffer(b"".join(part["shingles"]), "<u4")
-            held += np.bincount(values >> np.uint32(32 - SLOT_BITS), minlength=len(held))
+            for blob in part["shingles"]:
+                np.add.at(held, (np.frombuffer(blob, "<u8") >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
         pieces = np.split(held, 64)
         some = [k for k, x in enumerate(pieces) if x.any()]
         yield pd.DataFrame({"piece": some, "counts": [pieces[k].astype("<i8").tobytes() for k in some]}, columns=["piece", "counts"])
@@ -276,18 +276,20 @@ def shingle_ranks(sets: DataFrame) -> np.ndarray:
 def first_shingles(sets: DataFrame, ranks: np.ndarray, similarity: float) -> DataFrame:
     """``token``, ``key``, ``at`` (its place among the text's shingles by rank), ``n``: the
     rarest shingles of every text, one of which any two texts of ``similarity`` share."""
+    below = np.uint64((1 << (64 - SLOT_BITS)) - 1)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             tokens, sizes, taken = [], [], []
             for blob in part["shingles"]:
-                values = np.frombuffer(blob, "<u4")
+                values = np.frombuffer(blob, "<u8")
                 n = len(values)
-                order = (ranks[values >> np.uint32(32 - SLOT_BITS)].astype(np.uint64) << np.uint64(32)) | values
+                # The rank of its slot in place of the slot: another number for every shingle.
+                order = (ranks[values >> np.uint64(64 - SLOT_BITS)].astype(np.uint64) << np.uint64(64 - SLOT_BITS)) | (values & below)
                 order.sort()
                 few = n - int(np.ceil(similarity * n - ROUNDING)) + 1
                 # Texts without shingles are alike: they share a token of their own.
-                own = (order[:few] & np.uint64(0xFFFFFFFF)).astype(np.int64) if n else np.array([-1])
+                own = order[:few].view(np.int64) if n else np.array([-1])
                 tokens.append(own)
                 sizes.append(n)
                 taken.append(len(own))
@@ -394,16 +396,19 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
 
     first, second = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        return pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
-
     held = []  # tables that nothing reads once the classes are known
 
     def hold(rows: DataFrame) -> DataFrame:
         held.append(staged(rows))
         return held[-1]
 
-    found = hold(verified(hold(fingerprint_pairs(sets.select("key", "fp")))))
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = hold(pairs)
+        # The shingles of texts in no pair are not moved.
+        both = pairs.join(first, "a").join(second.join(pairs.select("b"), "b", "left_semi"), "b")
+        return both.where(alike("sa", "sb") >= similarity).select("a", "b")
+
+    found = hold(verified(fingerprint_pairs(sets.select("key", "fp"))))
     met = first_shingles(sets, shingle_ranks(sets), similarity)
     of_token = Window.partitionBy("token")
     met = hold(met.withColumn("rows", F.count(F.lit(1)).over(of_token)).where("rows > 1"))
@@ -435,7 +440,7 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
     several = F.min("label").over(of_token) != F.max("label").over(of_token)
     labelled = labelled.withColumn("several", several).where("several").drop("several")
     meetings = _meetings(labelled, chunk).repartition("place").sortWithinPartitions("place")
-    pairs = hold(meetings.mapInArrow(tidy(_candidates(similarity)), "a long, b long").distinct())
+    pairs = meetings.mapInArrow(tidy(_candidates(similarity)), "a long, b long").distinct()
     roots = components(found.unionByName(verified(pairs)))
     for done in held:
         discard(done)
@@ -446,12 +451,15 @@ def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float =
     """``docs`` with one document of every near-duplicate class, all columns kept.
 
     Texts are linked when the Jaccard similarity of their distinct shingles is at least
-    ``similarity``; SimHash fingerprints find most pairs, and no such pair is missed. Of a class the smallest doc_id stays (a null one
-    only where there is no other), of repeated rows one. Null, empty and blank texts are one
+    ``similarity``; SimHash fingerprints find most pairs, and no such pair is missed. Texts are
+    told apart by 128 bits of their SHA-256, shingles by their whole 64-bit hashes. Of a class the smallest
+    doc_id stays (a null one only where there is no other), of repeated rows one. Null, empty and blank texts are one
     class. An empty table gives no rows.
     """
-    # Row keys by name: equal texts have one text_key, whatever else their rows hold.
-    marked_docs = docs.withColumn("_llm_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    # Equal texts have one digest. A short key stands for it on the way, one for every digest.
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
+    marked_docs = docs.withColumn("_llm_digest", F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -459,18 +467,22 @@ def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float =
             for text in batch["text"]:
                 values = hashes(text, width)
                 fps.append(fingerprint(values))
-                sets.append(np.unique((values >> np.uint64(32)).astype("<u4")).tobytes())
-            yield pd.DataFrame({"key": batch["key"], "fp": np.array(fps, np.uint64).view(np.int64), "shingles": sets})
-
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FULL))
-    ids = marked_docs.select(F.col("_llm_key").alias("key"), F.col("text").cast("string").alias("text"))
-    sets = staged(ids.mapInPandas(tidy(mark), "key long, fp long, shingles binary").dropDuplicates(["key"]))
-    texts = staged(marked_docs.select(F.col("_llm_key").alias("key"), own.alias("doc_id")).groupBy("key").agg(F.min("doc_id").alias("first")))
-    roots = similar(sets, similarity, chunk)
+                sets.append(np.unique(values).astype("<u8").tobytes())
+            yield pd.DataFrame({"digest": batch["digest"], "fp": np.array(fps, np.uint64).view(np.int64), "shingles": sets})
+
+    # Equal texts are one before they are marked: their text is less to move than its hashes.
+    ids = marked_docs.select(F.col("_llm_digest").alias("digest"), text.alias("text")).dropDuplicates(["digest"])
+    each = ids.mapInPandas(tidy(mark), "digest binary, fp long, shingles binary")
+    sets = staged(each.withColumn("key", F.monotonically_increasing_id()))
+    # Of texts with one smallest doc_id that of the smallest hash is the first.
+    turn = F.xxhash64(text).alias("turn")
+    firsts = marked_docs.select(F.col("_llm_digest").alias("digest"), own.alias("doc_id"), turn).groupBy("digest", "turn").agg(F.min("doc_id").alias("first"))
+    texts = staged(firsts.join(sets.select("digest", "key"), "digest"))
+    roots = similar(sets.drop("digest"), similarity, chunk)
     discard(sets)
     named = texts.join(roots, texts["key"] == roots["node"], "left").withColumn("root", F.coalesce("root", "key"))
-    best = named.groupBy("root").agg(F.min(F.struct("first", "key")).alias("stay"))
-    stay = best.select(F.col("stay.first").alias("_llm_first"), F.col("stay.key").alias("_llm_stay"))
-    kept = marked_docs.join(stay, (F.col("_llm_key") == F.col("_llm_stay")) & (own == F.col("_llm_first")))
+    best = named.groupBy("root").agg(F.min(F.struct("first", "turn", "digest")).alias("stay"))
+    stay = best.select(F.col("stay.first").alias("_llm_first"), F.col("stay.digest").alias("_llm_stay"))
+    kept = marked_docs.join(stay, (F.col("_llm_digest") == F.col("_llm_stay")) & (own == F.col("_llm_first")))
     place = F.row_number().over(Window.partitionBy("_llm_stay", "_llm_first").orderBy("_llm_first"))
     return kept.withColumn("_llm_place", place).where("_llm_place = 1").select(*[kept[c] for c in docs.columns])

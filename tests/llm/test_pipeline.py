@@ -194,6 +194,39 @@ def test_fingerprints_find_near_copies_first(spark, monkeypatch):
     assert _kept(spark, texts) >= set(range(60))
 
 
+def _same_hash():
+    """Two different texts of one xxhash64: what their first eight bytes change, bytes 32 to 40 undo."""
+    p1, p2, full = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, (1 << 64) - 1
+
+    def lane(word):
+        x = (42 + p1 + p2 + int.from_bytes(word, "little") * p2) & full
+        return ((x << 31 | x >> 33) & full) * p1 & full
+
+    rest, undo = b" words that are the same", b"seventhx"
+    for i in range(100_000):
+        other = f"{i:08d}".encode()
+        y = (int.from_bytes(undo, "little") + (lane(b"aaaaaaaa") - lane(other)) * pow(p2, -1, 1 << 64)) & full
+        word = y.to_bytes(8, "little")
+        if all(33 <= b < 127 for b in word):
+            return [(head + rest + tail + rest).decode() for head, tail in ((b"aaaaaaaa", undo), (other, word))]
+
+
+def test_texts_of_one_hash_are_two_texts(spark):
+    a, b = _same_hash()
+    assert a != b
+    hashed = spark.createDataFrame([(a,), (b,)], "t string").selectExpr("xxhash64(t) h").distinct().count()
+    assert hashed == 1 and _kept(spark, [a, b, a]) == {0, 1}
+
+
+def test_shingles_that_share_half_a_hash_differ(spark):
+    seen, texts = {}, []
+    for i in range(200_000):
+        text = f"short{i} text"
+        other = seen.setdefault(int(simhash.hashes(text, 5)[0]) >> 32, text)
+        texts += [other, text] if other != text else []
+    assert len(texts) >= 2 and _kept(spark, texts) == set(range(len(texts)))
+
+
 def test_passages_are_sorted_in_small_parts(spark, docs, monkeypatch):
     """The pipeline's stage sorts a quarter at once of what op1 does, with the same spans."""
     sizes = []
