@@ -16,6 +16,10 @@ is a short segment of text. Four steps:
 
 A string that a third of all documents hold is one name per batch in step 2 and one segment
 per batch in step 3, so no place grows with the number of documents that repeat it.
+
+What a row of batches has for a place travels as one message. In large inputs a row holds
+several batches, worked on one after another, and places are larger, so there are not as
+many messages as batches times places.
 """
 
 from __future__ import annotations
@@ -39,6 +43,10 @@ BATCH = 1 << 20  # bytes of text in a batch
 NAMES = 1_000_000  # names a place of step 2 gets, about
 PLACE = 1 << 20  # bytes of segments a place of step 3 gets, about
 PLACES_A_TASK = 3
+ROWS = 128  # rows of batches, about, from which on a row holds several of them
+TOGETHER = 16  # batches in a row at most
+SPOTS = 1024  # places of step 3, about, from which on they get more than ``PLACE``
+WIDEST = 4  # times ``PLACE`` that a place of step 3 gets at most, about
 PART = 1 << 20  # bytes of different segments that are sorted at once
 
 FIRST_GRAM, SECOND_GRAM = 20, 16
@@ -140,16 +148,20 @@ def _place(names: np.ndarray, places: int) -> np.ndarray:
 # ---- step 1: batches ---------------------------------------------------------------
 
 
-def batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
-    """Packed rows (batch, n_bytes, blob) of ``docs`` (doc_id, text_key, text)."""
+def batches(docs: DataFrame, size: int = BATCH, together: int | None = None) -> DataFrame:
+    """Packed rows (batch, n_bytes, blob) of ``docs`` (doc_id, text_key, text); with ``together``
+    rows (batch, n_bytes, blobs) of up to that many batches."""
 
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
         ids, keys, texts, held = [], [], [], 0
+        blobs, volume, rows = [], 0, 0
+
+        def close():
+            blobs.append(freeze((np.array(ids, np.int64), np.array(keys, np.int64), texts)))
 
         def row():
-            blob = freeze((np.array(ids, np.int64), np.array(keys, np.int64), texts))
-            return pd.DataFrame({"batch": [number], "n_bytes": [held], "blob": [blob]})
+            return pd.DataFrame({"batch": [number], "n_bytes": [volume], column: [blobs] if together else blobs})
 
         for part in parts:
             for doc_id, key, text in zip(part["doc_id"], part["text_key"], part["text"]):
@@ -159,29 +171,39 @@ def batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
                 texts.append(data)
                 held += len(data)
                 if held >= size or len(ids) >= 100_000:
-                    yield row()
-                    number, ids, keys, texts, held = number + 1, [], [], [], 0
+                    close()
+                    volume, rows = volume + held, rows + len(ids)
+                    ids, keys, texts, held = [], [], [], 0
+                    if len(blobs) >= (together or 1) or rows >= 100_000:
+                        yield row()
+                        number, blobs, volume, rows = number + 1, [], 0, 0
         if ids:
+            close()
+            volume += held
+        if blobs:
             yield row()
 
-    return docs.mapInPandas(tidy(pack), "batch long, n_bytes long, blob binary")
+    column = "blobs" if together else "blob"
+    return docs.mapInPandas(tidy(pack), f"batch long, n_bytes long, {column} {'array<binary>' if together else 'binary'}")
 
 
 # ---- step 2: which names occur twice ----------------------------------------------
 
 
-def _sorted_names(batch: Batch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    names, first, end = batch.spans(length, FIRST_GRAM)
-    distinct, inverse, count = np.unique(names, return_inverse=True, return_counts=True)
-    return distinct, count, inverse, first, end
+def _sorted_names(opened: list[Batch], length: int):
+    """The different names of some batches, how often they occur, and (number among them, first
+    window, end window) of the runs of each batch."""
+    spans = [batch.spans(length, FIRST_GRAM) for batch in opened]
+    distinct, inverse, count = np.unique(np.concatenate([x[0] for x in spans]), return_inverse=True, return_counts=True)
+    cuts = np.cumsum([len(x[0]) for x in spans])[:-1]
+    return distinct, count, [(which, first, end) for which, (_, first, end) in zip(np.split(inverse, cuts), spans)]
 
 
 def send_names(packed: DataFrame, length: int, places: int) -> DataFrame:
     def send(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for number, blob in zip(part["batch"], part["blob"]):
-                ids, _, texts = thaw(blob)
-                distinct, count, *_ = _sorted_names(Batch(ids, texts), length)
+            for number, blobs in zip(part["batch"], part["blobs"]):
+                distinct, count, _ = _sorted_names([Batch(ids, texts) for ids, _, texts in map(thaw, blobs)], length)
                 if not len(distinct):
                     continue
                 place = _place(distinct, places)
@@ -213,21 +235,12 @@ def _answer_names(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def open_documents(packed: DataFrame, answers: DataFrame, length: int, places: int) -> DataFrame:
-    """Per batch: the settled documents as they are, the others with their open windows."""
+    """Per row of batches: the settled documents as they are, the others, batch by batch, with
+    their open windows."""
     per_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("place", "bits")).alias("answers"))
     joined = packed.join(per_batch, "batch", "left")
 
-    def one(number: int, blob: bytes, found) -> pd.DataFrame:  # what a batch needs is freed with this call
-        ids, keys, texts = thaw(blob)
-        batch = Batch(ids, texts)
-        distinct, _, inverse, first, end = _sorted_names(batch, length)
-        shared = np.zeros(len(distinct), bool)
-        if len(distinct):
-            place = _place(distinct, places)
-            for row in found if found is not None else []:
-                low, high = np.searchsorted(place, [row["place"], row["place"] + 1])
-                shared[low:high] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=high - low)
-        flagged = shared[inverse]
+    def one(ids, keys, texts, batch: Batch, flagged: np.ndarray, first: np.ndarray, end: np.ndarray):
         first, end = first[flagged], end[flagged]
         owner = np.searchsorted(batch.starts, first, side="right") - 1
         # Empty texts share their start with the next document, which is the last there.
@@ -241,16 +254,30 @@ def open_documents(packed: DataFrame, answers: DataFrame, length: int, places: i
         shut = np.setdiff1d(np.arange(len(ids)), opened)
         again = np.searchsorted(opened, spans[0])
         settled = [(int(ids[i]), int(keys[i]), len(texts[i]), hashlib.sha256(texts[i]).hexdigest()) for i in shut]
-        packed_open = freeze((ids[opened], keys[opened], [texts[i] for i in opened], again, spans[1], spans[2])) if len(opened) else None
-        windows = int((spans[2] - spans[1]).sum())
-        return pd.DataFrame({"batch": [number], "settled": [settled], "windows": [windows], "opened": [packed_open]})
+        packed_open = [freeze((ids[opened], keys[opened], [texts[i] for i in opened], again, spans[1], spans[2]))] if len(opened) else []
+        return settled, packed_open, int((spans[2] - spans[1]).sum())
+
+    def row(number: int, blobs, found) -> pd.DataFrame:  # what a row needs is freed with this call
+        held = [(ids, keys, texts, Batch(ids, texts)) for ids, keys, texts in map(thaw, blobs)]
+        distinct, _, spans = _sorted_names([batch for *_, batch in held], length)
+        shared = np.zeros(len(distinct), bool)
+        if len(distinct):
+            place = _place(distinct, places)
+            for answer in found if found is not None else []:
+                low, high = np.searchsorted(place, [answer["place"], answer["place"] + 1])
+                shared[low:high] = np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=high - low)
+        settled, opened, windows = [], [], 0
+        for batch, (which, first, end) in zip(held, spans):
+            here, blob, n = one(*batch, shared[which], first, end)
+            settled, opened, windows = settled + here, opened + blob, windows + n
+        return pd.DataFrame({"batch": [number], "settled": [settled], "windows": [windows], "opened": [opened or None]})
 
     def mark(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for number, blob, found in zip(part["batch"], part["blob"], part["answers"]):
-                yield one(number, blob, found)
+            for number, blobs, found in zip(part["batch"], part["blobs"], part["answers"]):
+                yield row(number, blobs, found)
 
-    shape = "batch long, settled array<struct<doc_id long, text_key long, n_bytes long, kept_sha256 string>>, windows long, opened binary"
+    shape = "batch long, settled array<struct<doc_id long, text_key long, n_bytes long, kept_sha256 string>>, windows long, opened array<binary>"
     return joined.mapInPandas(tidy(mark), shape)
 
 
@@ -283,18 +310,32 @@ def segments(opened: bytes, length: int, places: int):
 
 
 def send_segments(opened: DataFrame, length: int, places: int) -> DataFrame:
+    """A row of batches sends one message to a place: its batches' segments there, in turn."""
+
+    def row(blobs) -> Iterator[tuple]:
+        held: dict[int, tuple[list, list, list]] = {}
+        for blob in blobs:
+            *_, contents, smallest, at = segments(bytes(blob), length, places)
+            order = np.argsort(at, kind="stable")
+            starts, ends = runs(at[order], np.zeros(0, np.int64))
+            sizes = np.array([len(c) for c in contents], "<u4")
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                own = order[s:e]
+                of_sizes, of_owners, of_bodies = held.setdefault(int(at[own[0]]), ([], [], []))
+                of_sizes.append(sizes[own])
+                of_owners.append(smallest[own])
+                of_bodies.append(b"".join([contents[i] for i in own.tolist()]))
+        for place in sorted(held):
+            of_sizes, of_owners, of_bodies = held.pop(place)
+            body = b"".join(of_bodies)
+            yield place, squeeze(np.concatenate(of_sizes).tobytes()), squeeze(np.concatenate(of_owners).tobytes()), squeeze(body), len(body)
+
     def send(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for number, blob in zip(part["batch"], part["opened"]):
-                *_, contents, smallest, at = segments(bytes(blob), length, places)
-                order = np.argsort(at, kind="stable")
-                starts, ends = runs(at[order], np.zeros(0, np.int64))
-                sizes = np.array([len(c) for c in contents], "<u4")
+            for number, blobs in zip(part["batch"], part["opened"]):
                 rows = []
-                for s, e in zip(starts.tolist(), ends.tolist()):
-                    own = order[s:e]
-                    body = b"".join([contents[i] for i in own.tolist()])
-                    rows.append((int(at[own[0]]), number, squeeze(sizes[own].tobytes()), squeeze(smallest[own].tobytes()), squeeze(body), len(body)))
+                for place, *message in row(blobs):
+                    rows.append((place, number, *message))
                     if len(rows) >= 500:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
@@ -305,9 +346,10 @@ def send_segments(opened: DataFrame, length: int, places: int) -> DataFrame:
     return opened.mapInPandas(tidy(send), "place long, batch long, sizes binary, owners binary, body binary, n_bytes long")
 
 
-def _parts(contents: list[bytes], length: int, size: int = PART) -> tuple[list[int], list[list[int]]]:
+def _parts(contents: list[bytes], length: int, size: int | None = None) -> tuple[list[int], list[list[int]]]:
     """The contents that are alone under their window name, which share no string with any
     other, and the rest in parts to sort together; no name is in two parts."""
+    size = PART if size is None else size
     gram = min(SECOND_GRAM, length)
     names = np.empty(len(contents), np.uint64)
     for s in range(0, len(contents), 5_000):
@@ -377,47 +419,55 @@ RESULT = "doc_id long, text_key long, n_bytes long, n_removed long, n_spans long
 def _finish(length: int, places: int):
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for blob, found in zip(part["opened"], part["answers"]):
-                ids, keys, texts, doc, first, which, contents, _, at = segments(bytes(blob), length, places)
-                order = np.argsort(at, kind="stable")
-                runs_of = [None] * len(contents)
+            for blobs, found in zip(part["opened"], part["answers"]):
+                answers = {}  # of a place: what is left of the answer, which has the batches in turn
                 for row in found if found is not None else []:
-                    low, high = np.searchsorted(at[order], [row["place"], row["place"] + 1])
                     count, sizes, values = thaw(row["answer"])
-                    stop = np.cumsum(count.astype(np.int64)).tolist()
-                    begin = 0
-                    for i, s in zip(order[low:high].tolist(), stop):
-                        runs_of[i] = (sizes[begin:s], values[begin:s])
-                        begin = s
-                picked = [runs_of[i] for i in which.tolist()]
-                count = np.array([len(p[0]) for p in picked], np.int64)
-                sizes = np.concatenate([p[0] for p in picked]).astype(np.int64) if picked else np.zeros(0, np.int64)
-                values = np.concatenate([p[1] for p in picked]) if picked else np.zeros(0, np.int64)
-                before = np.cumsum(sizes) - sizes
-                segment = np.repeat(np.arange(len(picked)), count)
-                shift = before - before[np.cumsum(count) - count][segment] if len(sizes) else before
-                start = first[segment] + shift
-                owner = doc[segment]
-                gone = ids[owner] > values
-                start, stop, owner = start[gone], (start + sizes)[gone] + length - 1, owner[gone]
-                turn = np.lexsort((start, owner))
-                start, stop, owner = start[turn], stop[turn], owner[turn]
-                cuts = np.searchsorted(owner, np.arange(len(ids) + 1))
-                out = []
-                for d, text in enumerate(texts):
-                    s, e = start[cuts[d] : cuts[d + 1]], stop[cuts[d] : cuts[d + 1]]
-                    if len(s):
-                        reach = np.maximum.accumulate(e)
-                        fresh = np.append(True, s[1:] > reach[:-1])
-                        heads = np.flatnonzero(fresh)
-                        s, e = s[heads], reach[np.append(heads[1:], len(fresh)) - 1]
-                    kept, last = hashlib.sha256(), 0
-                    for a, b in zip(s.tolist(), e.tolist()):
-                        kept.update(text[last:a])
-                        last = b
-                    kept.update(text[last:])
-                    out.append((int(ids[d]), int(keys[d]), len(text), int((e - s).sum()), len(s), s.tolist(), e.tolist(), kept.hexdigest()))
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
+                    answers[row["place"]] = [0, np.append(0, np.cumsum(count.astype(np.int64))), sizes, values]
+                for blob in blobs:
+                    yield one(blob, answers)
+
+    def one(blob, answers: dict[int, list]) -> pd.DataFrame:
+        ids, keys, texts, doc, first, which, contents, _, at = segments(bytes(blob), length, places)
+        order = np.argsort(at, kind="stable")
+        runs_of = [None] * len(contents)
+        starts, ends = runs(at[order], np.zeros(0, np.int64))
+        for low, high in zip(starts.tolist(), ends.tolist()):
+            answer = answers[int(at[order[low]])]
+            begin, stops, sizes, values = answer
+            cuts = stops[begin : begin + high - low + 1].tolist()
+            answer[0] += high - low
+            for i, s, e in zip(order[low:high].tolist(), cuts, cuts[1:]):
+                runs_of[i] = (sizes[s:e], values[s:e])
+        picked = [runs_of[i] for i in which.tolist()]
+        count = np.array([len(p[0]) for p in picked], np.int64)
+        sizes = np.concatenate([p[0] for p in picked]).astype(np.int64) if picked else np.zeros(0, np.int64)
+        values = np.concatenate([p[1] for p in picked]) if picked else np.zeros(0, np.int64)
+        before = np.cumsum(sizes) - sizes
+        segment = np.repeat(np.arange(len(picked)), count)
+        shift = before - before[np.cumsum(count) - count][segment] if len(sizes) else before
+        start = first[segment] + shift
+        owner = doc[segment]
+        gone = ids[owner] > values
+        start, stop, owner = start[gone], (start + sizes)[gone] + length - 1, owner[gone]
+        turn = np.lexsort((start, owner))
+        start, stop, owner = start[turn], stop[turn], owner[turn]
+        cuts = np.searchsorted(owner, np.arange(len(ids) + 1))
+        out = []
+        for d, text in enumerate(texts):
+            s, e = start[cuts[d] : cuts[d + 1]], stop[cuts[d] : cuts[d + 1]]
+            if len(s):
+                reach = np.maximum.accumulate(e)
+                fresh = np.append(True, s[1:] > reach[:-1])
+                heads = np.flatnonzero(fresh)
+                s, e = s[heads], reach[np.append(heads[1:], len(fresh)) - 1]
+            kept, last = hashlib.sha256(), 0
+            for a, b in zip(s.tolist(), e.tolist()):
+                kept.update(text[last:a])
+                last = b
+            kept.update(text[last:])
+            out.append((int(ids[d]), int(keys[d]), len(text), int((e - s).sum()), len(s), s.tolist(), e.tolist(), kept.hexdigest()))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
 
     return finish
 
@@ -434,7 +484,9 @@ def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE, batch: i
     lighter(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("text_key"), text)
-    packed = staged(batches(plain.where("doc_id is not null"), batch))
+    named = plain.where("doc_id is not null")
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    packed = staged(batches(named, batch, max(1, min(TOGETHER, size // (batch * ROWS)))))
     volume = packed.agg(F.sum("n_bytes")).first()[0] or 0
     places = max(1, -(-volume // (8 * NAMES)))
     sent = send_names(packed, length, places)
@@ -447,7 +499,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, place: int = PLACE, batch: i
     windows = opened.agg(F.sum("windows")).first()[0] or 0
     # A segment has about half as many windows as a name's window has k-grams, and length - 1 bytes more.
     swell = 1 + 2 * (length - 1) / max(1, length - SECOND_GRAM + 2)
-    spots = max(1, int(windows * swell) // place + 1)
+    sent_bytes = int(windows * swell)
+    spots = max(1, sent_bytes // max(place, min(WIDEST * place, sent_bytes // SPOTS)) + 1)
     # A few places a task: each is settled on its own, and starting a task costs more than most.
     met = send_segments(opened, length, spots).repartition(min(-(-spots // PLACES_A_TASK), 4000), "place").groupBy("place").applyInPandas(tidy(_answer_segments(length, part)), "batch long, place long, answer binary")
     per_batch = met.groupBy("batch").agg(F.collect_list(F.struct("place", "answer")).alias("answers"))

@@ -83,6 +83,26 @@ def test_repeats_of_a_long_period(spark):
     assert found == {1: (0, 0), 2: (100_001, 1), 3: (0, 0)}
 
 
+def test_batches_of_a_row_send_one_message_to_a_place(spark, docs, monkeypatch):
+    """Rows of several batches, and larger places: far fewer messages, the same spans."""
+    sent = []
+
+    def counted(rows, length, places):
+        out = real(rows, length, places)
+        sent.append((out.count(), places))
+        return out
+
+    real = repeats.send_segments
+    monkeypatch.setattr(repeats, "send_segments", counted)
+    few = docs.coalesce(1)
+    single = sorted(map(str, repeats.repeated(few, batch=3000, place=1000).collect()))
+    monkeypatch.setattr(repeats, "ROWS", 2)
+    monkeypatch.setattr(repeats, "SPOTS", 2)
+    assert sorted(map(str, repeats.repeated(few, batch=3000, place=1000).collect())) == single
+    assert 5 * sent[1][0] < sent[0][0] and 3 * sent[1][1] < sent[0][1]
+    assert repeats.TOGETHER > 2 < repeats.WIDEST
+
+
 @pytest.mark.parametrize("shards", [7, 40])
 def test_sharding(docs, data, shards):
     found = sharding.shard(docs, shards).collect()
