@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import components, discard, own_ids, staged, table, tidy, whole_ids
+from skyledger.llm.common import components, discard, let_go, own_ids, staged, table, tidy, whole_ids
 
 SHINGLE = 4
 BITS = 4
@@ -394,19 +394,20 @@ def similar(sets: DataFrame, similarity: float, chunk: int = MEETING) -> DataFra
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype=float)
 
-    first, second = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-
     held = []  # tables that nothing reads once the classes are known
 
     def hold(rows: DataFrame) -> DataFrame:
         held.append(staged(rows))
+        let_go(sets.sparkSession)
         return held[-1]
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = hold(pairs)
-        # The shingles of texts in no pair are not moved.
-        both = pairs.join(first, "a").join(second.join(pairs.select("b"), "b", "left_semi"), "b")
-        return both.where(alike("sa", "sb") >= similarity).select("a", "b")
+        # Only the shingles of texts in a pair are moved.
+        ends = hold(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        some = sets.join(ends, "key", "left_semi")
+        first, second = some.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), some.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+        return pairs.join(first, "a").join(second, "b").where(alike("sa", "sb") >= similarity).select("a", "b")
 
     found = hold(verified(fingerprint_pairs(sets.select("key", "fp"))))
     met = first_shingles(sets, shingle_ranks(sets), similarity)
@@ -474,6 +475,7 @@ def one_of_each(docs: DataFrame, width: int = STAGE_SHINGLE, similarity: float =
     ids = marked_docs.select(F.col("_llm_digest").alias("digest"), text.alias("text")).dropDuplicates(["digest"])
     each = ids.mapInPandas(tidy(mark), "digest binary, fp long, shingles binary")
     sets = staged(each.withColumn("key", F.monotonically_increasing_id()))
+    let_go(docs.sparkSession)
     # Of texts with one smallest doc_id that of the smallest hash is the first.
     turn = F.xxhash64(text).alias("turn")
     firsts = marked_docs.select(F.col("_llm_digest").alias("digest"), own.alias("doc_id"), turn).groupBy("digest", "turn").agg(F.min("doc_id").alias("first"))
